@@ -13,15 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tilewright.shipping import ship
+
 #: Rows and bytes of one Arrow batch: bounds a Python worker's memory whatever the texts' lengths.
-BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
+BATCH_ROWS, BATCH_BYTES = 2000, 32 << 20
 
 #: Words and white space as every operator of this package understands them.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def configure(spark: SparkSession) -> None:
-    """Session settings that bound the memory of Arrow exchange."""
+    """Session settings that bound the memory of Arrow exchange; sends the package to the workers."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
@@ -97,6 +100,7 @@ def arrow_map(df: DataFrame, kernel: Callable[[pa.RecordBatch], pa.RecordBatch |
         if (out := kernel(batch)) is not None:
             yield out
 
+    configure(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

@@ -32,11 +32,11 @@ class PrefixCounter:
         check_order(self.v)
         #: whether two tokens, as first * size + second, are the encoding of their bytes
         self.fits: dict[int, bool] = {}
-        #: lengths of the tokens that end in two given bytes, longest first
+        #: lengths of the tokens that end in three given bytes, longest first
         lengths: dict[bytes, set[int]] = {}
         for t in self.v.ids:
-            if len(t) > 1:
-                lengths.setdefault(t[-2:], set()).add(len(t))
+            if len(t) > 2:
+                lengths.setdefault(t[-3:], set()).add(len(t))
         self.lengths = {k: sorted(x, reverse=True) for k, x in lengths.items()}
         self.units: dict[str, bytes] = {}
 
@@ -54,7 +54,7 @@ class PrefixCounter:
         fits, lengths = self.fits.get, self.lengths.get
         last, count = [-1], [0]
         for i in range(1, len(data) + 1):
-            for n in lengths(data[i - 2 : i], ()) if i > 1 else ():
+            for n in (*lengths(data[i - 3 : i], ()), 2) if i > 2 else (2,) if i > 1 else ():
                 if n > i:
                     continue
                 t = token(data[i - n : i])
