@@ -188,6 +188,9 @@ class Encoder:
         check_order(self.v)
         self.known: dict[str, bytes] = {}
 
+    def encode_new(self, pieces: list[str]) -> list[bytes]:
+        return encode_batch(self.v, [p.encode() for p in pieces])
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > MEMO_ENTRIES:
             self.known.clear()
@@ -201,7 +204,7 @@ class Encoder:
         long = []
         if new:
             distinct = list(new)
-            known.update(zip(distinct, encode_batch(self.v, [p.encode() for p in distinct])))
+            known.update(zip(distinct, self.encode_new(distinct)))
             long = [p for p in distinct if len(p) > MEMO_CHARS]
         out = []
         for segments in cut:
