@@ -23,8 +23,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """The document of the smallest id of each SimHash class; of rows that share this id, one."""
     configure(spark)
     classes = simhash.near_duplicates(docs)
-    first = staged(classes.filter("doc_id <=> component_id").groupBy(F.col("doc_id").alias("first")).count(), "first")
-    kept = docs.join(first, docs.doc_id.eqNullSafe(first.first), "left_semi")
+    first = staged(classes.filter("doc_id <=> component_id").groupBy(F.col("doc_id").alias("id")).count(), "first")
+    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["id"]), "left_semi")
     return kept.dropDuplicates(["doc_id"]) if first.filter("count > 1").limit(1).count() else kept
 
 
