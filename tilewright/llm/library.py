@@ -8,8 +8,8 @@ import numpy as np
 
 from tilewright.llm.bpe import Encoder, packed
 
-#: Pieces that are handed to the library as one text.
-RUN = 200
+#: Pieces that are handed to the library as one text, and texts at once (its results are large).
+RUN, TEXTS = 200, 50
 
 
 class LibraryEncoder(Encoder):
@@ -30,16 +30,21 @@ class LibraryEncoder(Encoder):
         words = [k for k, p in enumerate(pieces) if len(p) > 1 and p[0] == " " and p[1].isalpha()]
         joined = [words[k : k + RUN] for k in range(0, len(words), RUN)]
         out: list[bytes | None] = [None] * len(pieces)
-        for own, e in zip(joined, self.library.encode_batch(["".join([pieces[k] for k in own]) for own in joined], add_special_tokens=False)):
-            of, ids = np.array(e.word_ids, np.int64), np.array(e.ids, np.uint32).tobytes()
-            ends = np.append(np.flatnonzero(of[1:] != of[:-1]) + 1, len(of)).tolist()
-            if len(ends) != len(own):
-                continue
-            start = 0
-            for k, end in zip(own, ends):
-                out[k] = ids[4 * start : 4 * end]
-                start = end
+        for at in range(0, len(joined), TEXTS):
+            some = joined[at : at + TEXTS]
+            made = self.library.encode_batch(["".join([pieces[k] for k in own]) for own in some], add_special_tokens=False)
+            for own, e in zip(some, made):
+                of, ids = np.array(e.word_ids, np.int64), np.array(e.ids, np.uint32).tobytes()
+                ends = np.append(np.flatnonzero(of[1:] != of[:-1]) + 1, len(of)).tolist()
+                if len(ends) != len(own):
+                    continue
+                start = 0
+                for k, end in zip(own, ends):
+                    out[k] = ids[4 * start : 4 * end]
+                    start = end
         rest = [k for k, x in enumerate(out) if x is None]
-        for k, e in zip(rest, self.library.encode_batch([pieces[k] for k in rest], add_special_tokens=False)):
-            out[k] = packed(e.ids)
+        for at in range(0, len(rest), RUN * TEXTS):
+            some = rest[at : at + RUN * TEXTS]
+            for k, e in zip(some, self.library.encode_batch([pieces[k] for k in some], add_special_tokens=False)):
+                out[k] = packed(e.ids)
         return out

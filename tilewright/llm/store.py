@@ -27,13 +27,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tilewright.llm._common import arrow_map, configure, fresh_path, staged, table, texts_of
-from tilewright.llm.bpe import GATHER
 from tilewright.llm.library import LibraryEncoder
 from tilewright.llm.vocab import public_path, vocabulary
 
 #: Chunks: ids in the rolling window, bits that end one (mean length 2^bits), shortest and longest.
 WINDOW, CUT_BITS, SHORTEST, LONGEST = 16, 10, 128, 8192
 
+#: Bytes of text that are encoded together.
+GATHER = 6 << 20
+
 #: Fixed multipliers of the rolling hash.
 MIX, STEP = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
