@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from tilewright.plans import pixel_queries, record_queries, tile_queries
+
+QUERIES: dict = {**tile_queries.QUERIES, **record_queries.QUERIES, **pixel_queries.QUERIES}
+ORACLE_SQL: dict = {**tile_queries.ORACLE_SQL, **record_queries.ORACLE_SQL, **pixel_queries.ORACLE_SQL}
 FLAGSHIP = "tile_summary"
