@@ -20,10 +20,10 @@ from tilewright.llm._common import arrow_map, bytes_of, table, texts_of
 from tilewright.llm.vocab import Vocabulary, pieces_of, public_path, vocabulary
 
 #: Entries of a worker's memory of encoded pieces (it is emptied when full) and the longest piece kept.
-MEMO_ENTRIES, MEMO_CHARS = 400_000, 48
+MEMO_ENTRIES, MEMO_CHARS = 250_000, 48
 
 #: Bytes of text that share a pair index.
-GATHER = 16 << 20
+GATHER = 8 << 20
 
 
 def check_order(v: Vocabulary) -> None:

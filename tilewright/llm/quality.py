@@ -24,7 +24,7 @@ LABELLED, HELD_OUT, BITS = 2000, 0.25, 15
 LEAST_WORDS, MOST_REPEATED, KEEP_FROM = 50, 50, 0.4
 
 #: Bytes of text handled at once (arrays take about 60 times that).
-AT_ONCE = 4 << 20
+AT_ONCE = 1 << 20
 
 KINDS = 4
 _WHITE = np.zeros(256, bool)

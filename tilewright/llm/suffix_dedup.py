@@ -32,7 +32,7 @@ from tilewright.llm._common import arrow_map, bytes_of, configure, staged, table
 LENGTH, ANCHOR, MOST_WINDOWS = 400, 128, 1024
 
 #: Bytes of text whose windows are handled at once, of contexts indexed at once, and of one group.
-AT_ONCE, INDEX_BYTES, GROUP_BYTES = 4 << 20, 1 << 20, 2 << 20
+AT_ONCE, INDEX_BYTES, GROUP_BYTES = 2 << 20, 1 << 20, 2 << 20
 
 _MIX = 0x9E3779B97F4A7C15
 
