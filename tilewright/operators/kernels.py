@@ -121,12 +121,13 @@ def opening(mask: np.ndarray, radius: int) -> np.ndarray:
 
 
 def otsu(values: np.ndarray) -> int:
-    """The 8-bit value that splits a histogram best; 0 for no values."""
+    """The 8-bit value among those that occur which splits the histogram best; 0 for no values."""
     n = np.bincount(values.ravel(), minlength=256).astype(np.float64)
     w0, m0 = np.cumsum(n), np.cumsum(n * np.arange(256))
     ww = w0 * (w0[-1] - w0)
     gap = m0[-1] * w0 - m0 * w0[-1]
-    return int(np.where(ww > 0, gap * gap / np.maximum(ww, 1), -1).argmax()) if w0[-1] else 0
+    between = np.where(ww > 0, gap * gap / np.maximum(ww, 1), -1)
+    return int(np.where(n > 0, between, -2).argmax()) if w0[-1] else 0
 
 
 def gray(rgb: np.ndarray) -> np.ndarray:
