@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -77,6 +80,28 @@ def staged(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: What a worker process empties when a task ends.
+AT_TASK_END: list[Callable[[], None]] = []
+
+
+@contextlib.contextmanager
+def task_memory() -> Iterator[None]:
+    """For the time of a task: no searches for cyclic garbage (kernels make none); afterwards memories are
+    emptied and freed memory goes back to the system, as Spark keeps idle workers for long."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        for empty in AT_TASK_END:
+            empty()
+        gc.enable()
+        gc.collect()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+
+
 def arrow_map(df: DataFrame, kernel: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: T.StructType | str, gather: int = 0) -> DataFrame:
     """kernel on every Arrow batch of df; with gather, on runs of batches of about so many bytes, for
     kernels whose work is shared by the rows they see together."""
@@ -84,16 +109,17 @@ def arrow_map(df: DataFrame, kernel: Callable[[pa.RecordBatch], pa.RecordBatch |
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         size = 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(batch)
-            size += batch.nbytes
-            if size >= gather:
+        with task_memory():
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                held.append(batch)
+                size += batch.nbytes
+                if size >= gather:
+                    yield from made(held)
+                    held, size = [], 0
+            if held:
                 yield from made(held)
-                held, size = [], 0
-        if held:
-            yield from made(held)
 
     def made(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batch = held[0] if len(held) == 1 else pa.concat_batches(held)

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tilewright.llm._common import arrow_map, bytes_of, table, texts_of
+from tilewright.llm._common import AT_TASK_END, arrow_map, bytes_of, table, texts_of
 from tilewright.llm.vocab import Vocabulary, pieces_of, public_path, vocabulary
 
 #: Entries of a worker's memory of encoded pieces (it is emptied when full) and the longest piece kept.
@@ -225,14 +225,17 @@ def decode(v: Vocabulary, ids: bytes) -> str:
     return decode_bytes(v, ids).decode("utf-8", "replace")
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[type, str], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One for each worker process, so that its memory serves all batches."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def encoder(path: str, kind: type[Encoder] = Encoder) -> Encoder:
+    """One for each worker process, so that its memory serves all batches of a task."""
+    if (kind, path) not in _encoders:
+        _encoders[kind, path] = kind(path)
+    return _encoders[kind, path]
+
+
+AT_TASK_END.append(lambda: [e.known.clear() for e in _encoders.values()] and None)
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", id: str = "doc_id") -> DataFrame:

@@ -15,12 +15,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tilewright.llm._common import arrow_map, table, texts_of
-from tilewright.llm.bpe import MEMO_CHARS, MEMO_ENTRIES, check_order, encode_pieces
+from tilewright.llm._common import AT_TASK_END, arrow_map, table, texts_of
+from tilewright.llm.bpe import GATHER, MEMO_CHARS, MEMO_ENTRIES, check_order, encode_pieces
 from tilewright.llm.vocab import WHITE_RUN, Vocabulary, pieces_of, public_path, units_of, vocabulary
 
 #: Entries of the memory of neighbouring tokens.
-PAIR_ENTRIES = 1_000_000
+PAIR_ENTRIES = 500_000
 
 #: Contractions of three characters: their first two characters alone are two pieces.
 LONG_CONTRACTIONS = ("'re", "'ve", "'ll")
@@ -50,10 +50,15 @@ class PrefixCounter:
 
     def piece(self, text: str) -> list[int]:
         """counts[j]: tokens of the first j + 1 bytes of one piece."""
-        data, token, size = text.encode(), self.v.ids.get, self.v.size
-        fits, lengths = self.fits.get, self.lengths.get
         last, count = [-1], [0]
-        for i in range(1, len(data) + 1):
+        self._extend(text.encode(), last, count)
+        return count[1:]
+
+    def _extend(self, data: bytes, last: list[int], count: list[int]) -> None:
+        """Goes on with the last tokens and counts of prefixes that are known up to some place."""
+        token, single, size = self.v.ids.get, self.v.single, self.v.size
+        fits, lengths = self.fits.get, self.lengths.get
+        for i in range(len(last), len(data) + 1):
             for n in (*lengths(data[i - 3 : i], ()), 2) if i > 2 else (2,) if i > 1 else ():
                 if n > i:
                     continue
@@ -66,9 +71,30 @@ class PrefixCounter:
                         count.append(count[i - n] + 1)
                         break
             else:
-                last.append(self.v.single[data[i - 1]])
+                last.append(single[data[i - 1]])
                 count.append(count[i - 1] + 1)
-        return count[1:]
+
+    def learn(self, units: set[str]) -> None:
+        """Adds units to the memory.  Pieces are taken in order, and each goes on from the prefix that it
+        shares with the one before it."""
+        if len(self.units) > MEMO_ENTRIES:
+            self.units.clear()
+        plain = []
+        for u in units:
+            if len(u) > 1 and u[:2].isspace() or u in LONG_CONTRACTIONS:
+                self.units[u] = _changes([0, *self.unit_counts(u)])
+            else:
+                plain.append((u.encode(), u))
+        plain.sort()
+        before, last, count = b"", [-1], [0]
+        for data, u in plain:
+            k, most = 0, min(len(before), len(data))
+            while k < most and before[k] == data[k]:
+                k += 1
+            del last[k + 1 :], count[k + 1 :]
+            self._extend(data, last, count)
+            self.units[u] = _changes(count)
+            before = data
 
     def unit_counts(self, unit: str) -> list[int]:
         """counts[j]: tokens of the first j + 1 bytes of a unit as a text of its own."""
@@ -83,40 +109,52 @@ class PrefixCounter:
             base, at = base + of[-1], at + len(of)
         return counts
 
-    def unit(self, text: str) -> bytes:
-        """Changes of the count at the bytes of a unit."""
-        counts = self.piece(text) if len(text) < 2 or not text[:2].isspace() and text not in LONG_CONTRACTIONS else self.unit_counts(text)
-        return bytes([(b - a) & 255 for a, b in zip([0, *counts], counts)])
-
     def total(self, text: str) -> int:
         return sum(self.piece(p)[-1] for p in pieces_of(text))
 
-    def table(self, text: str) -> bytes:
-        """Changes of the count at all bytes of a text."""
-        if len(self.units) > MEMO_ENTRIES:
+    def tables(self, texts: list[str]) -> list[bytes]:
+        """Changes of the count at all bytes of each text."""
+        cut = [[units_of(s) if k % 2 == 0 else s for k, s in enumerate(self.v.segments(t))] for t in texts]
+        new: set[str] = set()
+        for segments in cut:
+            for units in segments[::2]:
+                new.update(units)
+        new.difference_update(self.units)
+        if len(self.units) + len(new) > MEMO_ENTRIES:
             self.units.clear()
-        known, out, tail = self.units, [], ""
-        for k, s in enumerate(self.v.segments(text)):
+            new = {u for segments in cut for units in segments[::2] for u in units}
+        self.learn(new)
+        known = self.units.__getitem__
+        out = [b"".join(map(known, s[0])) if len(s) == 1 else self._with_specials(s) for s in cut]
+        for u in new:
+            if len(u) > MEMO_CHARS:
+                del self.units[u]
+        return out
+
+    def table(self, text: str) -> bytes:
+        return self.tables([text])[0]
+
+    def _with_specials(self, segments: list) -> bytes:
+        out, tail = [], ""
+        for k, s in enumerate(segments):
             if k % 2 == 0:
-                units = units_of(s)
-                new = set(units).difference(known)
-                known.update((u, self.unit(u)) for u in new)
-                out += map(known.__getitem__, units)
-                for u in new:
-                    if len(u) > MEMO_CHARS:
-                        del known[u]
-                tail = units[-1] if units else ""
+                out += map(self.units.__getitem__, s)
+                tail = s[-1] if s else ""
             else:  # a special token: its proper prefixes are ordinary text that continues the last unit
                 base = self.total(tail)
                 counts = [base]
                 for n in range(1, len(s)):
                     counts += [self.total(tail + s[:n])] * len(s[n - 1].encode())
                 counts += [base + 1] * len(s[-1].encode())
-                out.append(np.diff(np.array(counts)).astype(np.int8).tobytes())
+                out.append(_changes(counts))
                 tail = ""
         return b"".join(out)
 
 
+def _changes(counts: list[int]) -> bytes:
+    return bytes([(b - a) & 255 for a, b in zip(counts, counts[1:])])
+
+
 def count_at(changes: bytes, n_bytes: int) -> int:
     """Tokens of the first n_bytes bytes."""
     return int(np.frombuffer(changes, np.int8, n_bytes).sum(dtype=np.int64))
@@ -142,6 +180,9 @@ def counter(path: str) -> PrefixCounter:
     return _counters[path]
 
 
+AT_TASK_END.append(lambda: [c.units.clear() for c in _counters.values()] and None)
+
+
 def prefix_tables(docs: DataFrame, path: str, budget: int = 512, text: str = "text", id: str = "doc_id", changes: bool = True) -> DataFrame:
     """(id, n_bytes, n_tokens, budget_bytes, changes binary) of each row: whole UTF-8 length and tokens,
     bytes of the longest prefix within the budget, and the prefix table (left out if not changes).
@@ -151,8 +192,9 @@ def prefix_tables(docs: DataFrame, path: str, budget: int = 512, text: str = "te
     def kernel(b: pa.RecordBatch) -> pa.RecordBatch:
         c = counter(path)
         n_bytes, n_tokens, fit, tables = [], [], [], []
-        for t in texts_of(b.column(1)):
-            data, made = t.encode(), c.table(t)
+        texts = texts_of(b.column(1))
+        for t, made in zip(texts, c.tables(texts)):
+            data = t.encode()
             n = count_at(made, len(data))
             n_bytes.append(len(data))
             n_tokens.append(n)
@@ -164,7 +206,7 @@ def prefix_tables(docs: DataFrame, path: str, budget: int = 512, text: str = "te
         return pa.RecordBatch.from_arrays(cols + [pa.array(tables, pa.binary())] * changes, names + ["changes"] * changes)
 
     schema = "id long, n_bytes long, n_tokens long, budget_bytes long" + ", changes binary" * changes
-    return arrow_map(docs.select(docs[id].cast("long").alias("id"), docs[text].alias("text")), kernel, schema).withColumnRenamed("id", id)
+    return arrow_map(docs.select(docs[id].cast("long").alias("id"), docs[text].alias("text")), kernel, schema, GATHER).withColumnRenamed("id", id)
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

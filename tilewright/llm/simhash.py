@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilewright.llm._common import arrow_map, bytes_of, staged, table
+from tilewright.llm._common import arrow_map, bytes_of, staged, table, task_memory
 from tilewright.llm.components import components
 
 #: Largest group that is compared pair by pair before the last level, and rows handled at once.
@@ -120,6 +120,10 @@ def _grouped(last: bool, bits: int, limit: int):
             yield pa.RecordBatch.from_arrays([pa.array(fp[large].view(np.int64)), pa.nulls(n, pa.int64()), pa.array(key[large]), pa.array(at[large])], ["a", "b", "key", "at"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with task_memory():
+            yield from blocks(batches)
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         n, hot_key = 0, None
         for batch in batches:

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tilewright.llm._common import arrow_map, configure, fresh_path, staged, table, texts_of
+from tilewright.llm.bpe import encoder
 from tilewright.llm.library import LibraryEncoder
 from tilewright.llm.vocab import public_path, vocabulary
 
@@ -109,8 +110,6 @@ def crc32_joined(first: int, second: int, second_bytes: int) -> int:
     return _times(shift, first) ^ second
 
 
-_encoders: dict[str, LibraryEncoder] = {}
-
 _DOCUMENT = "part int, pos long, doc_id long, last long, start long, n_tokens long, digests array<binary>, root binary, documents long"
 
 
@@ -124,12 +123,10 @@ def write(docs: DataFrame, path: str, vocab: str, end_id: int = 2, text: str = "
     narrow = max(vocabulary(vocab).size, end_id + 1) <= 1 << 16
 
     def kernel(b: pa.RecordBatch) -> pa.RecordBatch:
-        if vocab not in _encoders:
-            _encoders[vocab] = LibraryEncoder(vocab)
         squeeze = zstandard.ZstdCompressor(level=1).compress
         end = np.array([end_id], np.uint32).tobytes()
         rows = []
-        for d, packed in zip(b.column(0).to_pylist(), _encoders[vocab](texts_of(b.column(1)))):
+        for d, packed in zip(b.column(0).to_pylist(), encoder(vocab, LibraryEncoder)(texts_of(b.column(1)))):
             data = packed + end
             ids, last = np.frombuffer(data, np.uint32), 0
             whole = xxhash.xxh3_64_intdigest(data) >> 1

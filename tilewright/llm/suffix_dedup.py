@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilewright.llm._common import arrow_map, bytes_of, configure, staged, table
+from tilewright.llm._common import arrow_map, bytes_of, configure, staged, table, task_memory
 
 #: Bytes of a passage that must repeat, of an anchor (a power of two), and most windows of a context.
 LENGTH, ANCHOR, MOST_WINDOWS = 400, 128, 1024
@@ -207,6 +207,10 @@ def _indexed(length: int):
     """Spans of contexts that come sorted by group; whole groups are indexed together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with task_memory():
+            yield from groups(batches)
+
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size, last = 0, None
         for b in batches:
