@@ -136,7 +136,7 @@ def priority_reference(spark: SparkSession, d: str) -> DataFrame:
 
 
 _THRESHOLDS = [("focus", None, 10000.0, None), ("focus", "HE", 20000.0, 60000.0), ("focus", "LFB", None, None), ("fold", None, None, 0.4), ("fold", "lfb-he", 0.5, 0.1), ("quantity", None, 3.0, 48.0)]
-_THRESHOLD_SQL = "(VALUES " + ", ".join("(" + ", ".join("NULL" if x is None else repr(x) for x in t) + ")" for t in _THRESHOLDS) + ") t(metric, stain, lo, hi)"
+_THRESHOLD_SQL = "(VALUES " + ", ".join("(" + ", ".join("NULL" if x is None else f"{x}::DOUBLE" if isinstance(x, float) else repr(x) for x in t) + ")" for t in _THRESHOLDS) + ") t(metric, stain, lo, hi)"
 _METRICS_SQL = f"""
  WITH s AS (SELECT slide, CASE slide % 5 WHEN 0 THEN 'HE' WHEN 1 THEN 'LFB' WHEN 2 THEN 'lfb/h&e' WHEN 3 THEN 'AT8' END AS stain, CASE slide % 5 WHEN 2 THEN 'lfb-he' END AS alias,
      max(focus) AS focus, CASE WHEN slide % 7 <> 3 THEN min(coarse) END AS fold, CASE WHEN slide % 4 = 1 THEN 'NaN'::DOUBLE ELSE max(quantity) END AS quantity FROM tiles GROUP BY slide)
