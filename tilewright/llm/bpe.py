@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tilewright.llm._common import AT_TASK_END, arrow_map, bytes_of, table, texts_of
 from tilewright.llm.vocab import Vocabulary, pieces_of, public_path, vocabulary
 
-#: Entries of a worker's memory of encoded pieces (it is emptied when full) and the longest piece kept.
+#: Entries of a worker's memory of encoded pieces and their mean length at most (it is emptied when full).
 MEMO_ENTRIES, MEMO_CHARS = 250_000, 48
 
 #: Bytes of text that share a pair index.
@@ -181,37 +181,46 @@ def packed(ids) -> bytes:
 
 class Encoder:
     """Encodes whole texts into packed ids.  Pieces met before are taken from a bounded memory; all
-    new pieces of a batch go through one pair index."""
+    new pieces of a batch go through one pair index.  Until then a text is held as the numbers of its
+    pieces, four bytes each."""
 
     def __init__(self, path: str):
         self.v = vocabulary(path)
         check_order(self.v)
-        self.known: dict[str, bytes] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids: list[bytes] = []
+        self.chars = 0
 
     def encode_new(self, pieces: list[str]) -> list[bytes]:
         return encode_batch(self.v, [p.encode() for p in pieces])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > MEMO_ENTRIES:
-            self.known.clear()
-        known = self.known
-        cut = [[pieces_of(s) if k % 2 == 0 else s for k, s in enumerate(self.v.segments(t))] for t in texts]
-        new: set[str] = set()
-        for segments in cut:
-            for pieces in segments[::2]:
-                new.update(pieces)
-        new.difference_update(known)
-        long = []
+        number, new, cut = self.number, [], []
+        for t in texts:
+            segments: list = []
+            for k, s in enumerate(self.v.segments(t)):
+                if k % 2:
+                    segments.append(s)
+                    continue
+                pieces = pieces_of(s)
+                fresh = list(set(pieces).difference(number))
+                number.update(zip(fresh, range(len(number), len(number) + len(fresh))))
+                new += fresh
+                segments.append(array.array("I", map(number.__getitem__, pieces)))
+            cut.append(segments)
         if new:
-            distinct = list(new)
-            known.update(zip(distinct, self.encode_new(distinct)))
-            long = [p for p in distinct if len(p) > MEMO_CHARS]
+            self.ids += self.encode_new(new)
+            self.chars += sum(map(len, new))
+        ids = self.ids.__getitem__
         out = []
         for segments in cut:
-            parts = [b"".join(map(known.__getitem__, s)) if k % 2 == 0 else packed([self.v.specials[s]]) for k, s in enumerate(segments)]
+            parts = [packed([self.v.specials[s]]) if k % 2 else b"".join(map(ids, s)) for k, s in enumerate(segments)]
             out.append(parts[0] if len(parts) == 1 else b"".join(parts))
-        for p in long:
-            del known[p]
+        if len(number) > MEMO_ENTRIES or self.chars > MEMO_ENTRIES * MEMO_CHARS:
+            self.clear()
         return out
 
 
@@ -235,7 +244,7 @@ def encoder(path: str, kind: type[Encoder] = Encoder) -> Encoder:
     return _encoders[kind, path]
 
 
-AT_TASK_END.append(lambda: [e.known.clear() for e in _encoders.values()] and None)
+AT_TASK_END.append(lambda: [e.clear() for e in _encoders.values()] and None)
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", id: str = "doc_id") -> DataFrame:
