@@ -187,6 +187,7 @@ class Encoder:
     def __init__(self, path: str):
         self.v = vocabulary(path)
         check_order(self.v)
+        self.most = MEMO_ENTRIES
         self.clear()
 
     def clear(self) -> None:
@@ -219,7 +220,7 @@ class Encoder:
         for segments in cut:
             parts = [packed([self.v.specials[s]]) if k % 2 else b"".join(map(ids, s)) for k, s in enumerate(segments)]
             out.append(parts[0] if len(parts) == 1 else b"".join(parts))
-        if len(number) > MEMO_ENTRIES or self.chars > MEMO_ENTRIES * MEMO_CHARS:
+        if len(number) > self.most or self.chars > self.most * MEMO_CHARS:
             self.clear()
         return out
 
@@ -244,7 +245,7 @@ def encoder(path: str, kind: type[Encoder] = Encoder) -> Encoder:
     return _encoders[kind, path]
 
 
-AT_TASK_END.append(lambda: [e.clear() for e in _encoders.values()] and None)
+AT_TASK_END.append(lambda: [e.clear() for e in _encoders.values() if type(e) is Encoder] and None)
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", id: str = "doc_id") -> DataFrame:

@@ -11,6 +11,9 @@ from tilewright.llm.bpe import Encoder, packed
 #: Pieces that are handed to the library as one text, and texts at once (its results are large).
 RUN, TEXTS = 200, 50
 
+#: Entries of a worker's memory.
+ENTRIES = 700_000
+
 
 class LibraryEncoder(Encoder):
     """As Encoder, with the library's own encode_batch for pieces that are new.  Pieces that begin with a
@@ -22,6 +25,7 @@ class LibraryEncoder(Encoder):
         from tokenizers import Tokenizer
 
         super().__init__(path)
+        self.most = ENTRIES
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()

@@ -15,12 +15,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tilewright.llm._common import AT_TASK_END, arrow_map, table, texts_of
-from tilewright.llm.bpe import GATHER, MEMO_CHARS, MEMO_ENTRIES, check_order, encode_pieces
+from tilewright.llm._common import arrow_map, table, texts_of
+from tilewright.llm.bpe import GATHER, MEMO_CHARS, check_order, encode_pieces
 from tilewright.llm.vocab import WHITE_RUN, Vocabulary, pieces_of, public_path, units_of, vocabulary
 
-#: Entries of the memory of neighbouring tokens.
-PAIR_ENTRIES = 500_000
+#: Entries of a worker's memories of neighbouring tokens and of units; they are emptied when full.
+PAIR_ENTRIES, UNIT_ENTRIES = 500_000, 800_000
 
 #: Contractions of three characters: their first two characters alone are two pieces.
 LONG_CONTRACTIONS = ("'re", "'ve", "'ll")
@@ -32,12 +32,12 @@ class PrefixCounter:
         check_order(self.v)
         #: whether two tokens, as first * size + second, are the encoding of their bytes
         self.fits: dict[int, bool] = {}
-        #: lengths of the tokens that end in three given bytes, longest first
+        #: lengths over one of the tokens that end in given two or three bytes, longest first
         lengths: dict[bytes, set[int]] = {}
         for t in self.v.ids:
             if len(t) > 2:
-                lengths.setdefault(t[-3:], set()).add(len(t))
-        self.lengths = {k: sorted(x, reverse=True) for k, x in lengths.items()}
+                lengths.setdefault(t[-3:], {2} if t[-2:] in self.v.ids else set()).add(len(t))
+        self.lengths = {k: tuple(sorted(x, reverse=True)) for k, x in lengths.items()} | {t: (2,) for t in self.v.ids if len(t) == 2}
         self.units: dict[str, bytes] = {}
 
     def pair_fits(self, a: int, b: int) -> bool:
@@ -59,14 +59,10 @@ class PrefixCounter:
         token, single, size = self.v.ids.get, self.v.single, self.v.size
         fits, lengths = self.fits.get, self.lengths.get
         for i in range(len(last), len(data) + 1):
-            for n in (*lengths(data[i - 3 : i], ()), 2) if i > 2 else (2,) if i > 1 else ():
-                if n > i:
-                    continue
-                t = token(data[i - n : i])
-                if t is not None:
-                    a = last[i - n]
-                    ok = fits(a * size + t)
-                    if ok or ok is None and self.pair_fits(a, t):
+            for n in lengths(data[i - 3 : i]) or lengths(data[i - 2 : i], ()) if i > 2 else lengths(data[:i], ()):
+                if n <= i and (t := token(data[i - n : i])) is not None:
+                    at = last[i - n] * size + t
+                    if fits(at) or at not in self.fits and self.pair_fits(last[i - n], t):
                         last.append(t)
                         count.append(count[i - n] + 1)
                         break
@@ -77,8 +73,6 @@ class PrefixCounter:
     def learn(self, units: set[str]) -> None:
         """Adds units to the memory.  Pieces are taken in order, and each goes on from the prefix that it
         shares with the one before it."""
-        if len(self.units) > MEMO_ENTRIES:
-            self.units.clear()
         plain = []
         for u in units:
             if len(u) > 1 and u[:2].isspace() or u in LONG_CONTRACTIONS:
@@ -120,7 +114,7 @@ class PrefixCounter:
             for units in segments[::2]:
                 new.update(units)
         new.difference_update(self.units)
-        if len(self.units) + len(new) > MEMO_ENTRIES:
+        if len(self.units) + len(new) > UNIT_ENTRIES:
             self.units.clear()
             new = {u for segments in cut for units in segments[::2] for u in units}
         self.learn(new)
@@ -180,9 +174,6 @@ def counter(path: str) -> PrefixCounter:
     return _counters[path]
 
 
-AT_TASK_END.append(lambda: [c.units.clear() for c in _counters.values()] and None)
-
-
 def prefix_tables(docs: DataFrame, path: str, budget: int = 512, text: str = "text", id: str = "doc_id", changes: bool = True) -> DataFrame:
     """(id, n_bytes, n_tokens, budget_bytes, changes binary) of each row: whole UTF-8 length and tokens,
     bytes of the longest prefix within the budget, and the prefix table (left out if not changes).

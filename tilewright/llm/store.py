@@ -15,6 +15,7 @@ its root."""
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import zlib
 from collections.abc import Iterator
@@ -99,15 +100,21 @@ def _times(a: int, b: int) -> int:
 _POWERS = _crc_tables()
 
 
-def crc32_joined(first: int, second: int, second_bytes: int) -> int:
-    """CRC-32 of two strings joined, from theirs and the second one's length."""
+@functools.lru_cache(maxsize=1 << 16)
+def _shift(n_bytes: int) -> int:
+    """x^(8 n) modulo the polynomial."""
     shift, k = 1 << 31, 0
-    while second_bytes:
-        if second_bytes & 1:
+    while n_bytes:
+        if n_bytes & 1:
             shift = _times(_POWERS[k], shift)
-        second_bytes >>= 1
+        n_bytes >>= 1
         k += 1
-    return _times(shift, first) ^ second
+    return shift
+
+
+def crc32_joined(first: int, second: int, second_bytes: int) -> int:
+    """CRC-32 of two strings joined, from theirs and the second one's length."""
+    return _times(_shift(second_bytes), first) ^ second if first else second
 
 
 _DOCUMENT = "part int, pos long, doc_id long, last long, start long, n_tokens long, digests array<binary>, root binary, documents long"
@@ -184,14 +191,15 @@ def _document_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["part", "pos", "doc_id", "last", "start", "n_tokens", "digests", "root", "documents"])
 
 
-def chunk_ids(payload: bytes, width: int) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(payload), np.uint16 if width == 2 else np.uint32).astype(np.uint32)
+def chunk_ids(payload: bytes, width: int, unpack=None) -> np.ndarray:
+    data = (unpack or zstandard.ZstdDecompressor().decompress)(payload)
+    return np.frombuffer(data, np.uint16 if width == 2 else np.uint32).astype(np.uint32)
 
 
 def _chunk_digests(b: pa.RecordBatch) -> pa.RecordBatch:
-    n, crc = [], []
+    n, crc, unpack = [], [], zstandard.ZstdDecompressor().decompress
     for digest, width, payload in zip(*(c.to_pylist() for c in b.columns)):
-        data = chunk_ids(payload, width).tobytes()
+        data = chunk_ids(payload, width, unpack).tobytes()
         if hashlib.sha256(data).digest() != digest:
             raise ValueError(f"chunk {digest.hex()} is damaged")
         n.append(len(data) // 4)
