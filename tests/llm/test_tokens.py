@@ -9,7 +9,8 @@ from tokenizers import Tokenizer
 from tests.llm.fixtures import documents, empty, table
 from tilewright.llm import bpe, prefix_tokens, store
 from tilewright.llm.library import LibraryEncoder
-from tilewright.llm.vocab import public_path
+from tilewright.llm.pretokenize import distinct_pieces
+from tilewright.llm.vocab import pieces_of, public_path
 
 PATH = public_path()
 ODD = ["a", "b", "'", " ", "  ", "\n", "\t", "\x1c", "\x85", "\u3000", "é", "日本", "1", "2", "!", "<|endoftext|>", "<|end", "re", "'re", "'ll", "s", "😀", "\u200b", "\u0300", "\x00", "ß", "the", " the"]
@@ -38,6 +39,16 @@ def test_encoders_agree_with_the_library(library, kind):
     assert [bpe.decode(v, x) for x in made] == [library.decode(ids(library, t), skip_special_tokens=False) for t in texts]
 
 
+def test_cutting_in_arrays_is_the_pattern():
+    texts = [*odd_texts(1500, 7), "", "a" * 200 + " " + "b" * 65, "it's we're  I'll 'd\n'twas ''s 'ss", " ", "x  ", "\n\n y"]
+    pieces, which, cuts = distinct_pieces(texts)
+    at = 0
+    for t, end in zip(texts, cuts):
+        assert [pieces[k] for k in which[at:end]] == pieces_of(t), repr(t)
+        at = end
+    assert distinct_pieces([])[0] == [] and distinct_pieces(["", ""])[2].tolist() == [0, 0]
+
+
 def test_array_index_is_the_list_index():
     rng = random.Random(1)
     v = bpe.encoder(PATH).v

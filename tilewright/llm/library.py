@@ -6,7 +6,8 @@ import os
 
 import numpy as np
 
-from tilewright.llm.bpe import Encoder, packed
+from tilewright.llm.bpe import MEMO_CHARS, Encoder, packed
+from tilewright.llm.pretokenize import distinct_pieces
 
 #: Pieces that are handed to the library as one text, and texts at once (its results are large).
 RUN, TEXTS = 200, 50
@@ -30,6 +31,34 @@ class LibraryEncoder(Encoder):
         self.library.no_truncation()
         self.library.no_padding()
 
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """As Encoder, with the pieces of all texts cut and told apart in arrays.  Texts with special strings
+        go the other way, which knows them."""
+        special = [any(x in t for x in self.v.special_texts) for t in texts]
+        plain = [t for t, s in zip(texts, special) if not s]
+        found = distinct_pieces(plain)
+        if found is None:
+            return super().__call__(texts)
+        pieces, which, cuts = found
+        number = self.number
+        fresh = [p for p in pieces if p not in number]
+        number.update(zip(fresh, range(len(number), len(number) + len(fresh))))
+        if fresh:
+            self.ids += self.encode_new(fresh)
+            self.chars += sum(map(len, fresh))
+        own = [self.ids[number[p]] for p in pieces]
+        places, at, out = which.tolist(), 0, []
+        for end in cuts.tolist():
+            out.append(b"".join(map(own.__getitem__, places[at:end])))
+            at = end
+        if any(special):
+            others = iter(super().__call__([t for t, s in zip(texts, special) if s]))
+            plain_ids = iter(out)
+            out = [next(others) if s else next(plain_ids) for s in special]
+        elif len(number) > self.most or self.chars > self.most * MEMO_CHARS:
+            self.clear()
+        return out
+
     def encode_new(self, pieces: list[str]) -> list[bytes]:
         words = [k for k, p in enumerate(pieces) if len(p) > 1 and p[0] == " " and p[1].isalpha()]
         joined = [words[k : k + RUN] for k in range(0, len(words), RUN)]

@@ -36,7 +36,7 @@ from tilewright.llm.vocab import public_path, vocabulary
 WINDOW, CUT_BITS, SHORTEST, LONGEST = 16, 10, 128, 8192
 
 #: Bytes of text that are encoded together.
-GATHER = 12 << 20
+GATHER = 5 << 20
 
 #: Fixed multipliers of the rolling hash.
 MIX, STEP = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
