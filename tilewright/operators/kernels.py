@@ -5,8 +5,8 @@ from __future__ import annotations
 
 import numpy as np
 
-FOUR = ((-1, 0), (0, -1))
-EIGHT = ((-1, -1), (-1, 0), (-1, 1), (0, -1))
+#: Neighbour values that are sorted at once.
+BAND_VALUES = 4_000_000
 
 
 def label(mask: np.ndarray, eight: bool = True) -> np.ndarray:
@@ -169,14 +169,32 @@ def _half_widths(radius: int) -> np.ndarray:
 
 
 def entropy(channel: np.ndarray, radius: int = 5) -> np.ndarray:
-    """Shannon entropy in bits of the 8-bit values in a disc around each pixel, inside the image."""
-    half = _half_widths(radius)
-    total = _row_sums(np.ones(channel.shape), half, radius)
-    out = np.zeros(channel.shape)
-    for v in np.unique(channel):
-        n = _row_sums((channel == v).astype(np.float64), half, radius)
-        p = n / total
-        out -= np.where(n > 0, p * np.log2(np.where(n > 0, p, 1)), 0)
+    """Shannon entropy in bits of the 8-bit values in a disc around each pixel, inside the image.
+
+    With n pixels, of which n_v have the value v, it is log2 n - sum(n_v log2 n_v) / n.  The neighbours of each
+    pixel are sorted; the k-th of a run of equal values adds k log2 k - (k - 1) log2 (k - 1), which sums to
+    n_v log2 n_v over the run.  Bands of rows bound the memory."""
+    h, w = channel.shape
+    offsets = [(dy, dx) for dy, dx in np.argwhere(disk(radius)) - radius]
+    padded = np.full((h + 2 * radius, w + 2 * radius), 256, np.uint16)  # 256: outside
+    padded[radius : radius + h, radius : radius + w] = channel
+    k = np.arange(len(offsets) + 1, dtype=np.float64)
+    whole = np.where(k > 0, k * np.log2(np.maximum(k, 1)), 0)
+    step = np.diff(whole, prepend=0.0).astype(np.float64)
+    out = np.empty((h, w))
+    band = max(1, BAND_VALUES // (len(offsets) * w))
+    for y in range(0, h, band):
+        rows = min(band, h - y)
+        near = np.stack([padded[radius + y + dy : radius + y + dy + rows, radius + dx : radius + dx + w].ravel() for dy, dx in offsets], axis=1)
+        near.sort(axis=1, kind="stable")
+        fresh = np.ones(near.shape, bool)
+        fresh[:, 1:] = near[:, 1:] != near[:, :-1]
+        at = np.arange(near.shape[1], dtype=np.int16)
+        run = at - np.maximum.accumulate(np.where(fresh, at, np.int16(0)), axis=1) + 1
+        inside = near < 256
+        n = inside.sum(1)
+        spread = (step[run] * inside).sum(1)
+        out[y : y + rows] = (np.log2(n) - spread / n).reshape(rows, w)
     return np.maximum(out, 0)
 
 
