@@ -28,3 +28,10 @@ def test_query_against_sql(spark, sf_dir, duck, name):
 def test_entry(spark, sf_dir):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLE_SQL)))
+def test_kernel_queries_give_a_row_for_each_plane(spark, sf_dir, name):
+    rows = catalog.QUERIES[name](spark, sf_dir).collect()
+    assert len(rows) == len({r.plane for r in rows}) > 0
+    assert any(r.error_type is None for r in rows)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from tilewright.plans import pixel_queries, record_queries, tile_queries
+from tilewright.plans import more_queries, pixel_queries, record_queries, tile_queries
 
-QUERIES: dict = {**tile_queries.QUERIES, **record_queries.QUERIES, **pixel_queries.QUERIES}
-ORACLE_SQL: dict = {**tile_queries.ORACLE_SQL, **record_queries.ORACLE_SQL, **pixel_queries.ORACLE_SQL}
+_MODULES = (tile_queries, record_queries, pixel_queries, more_queries)
+QUERIES: dict = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
+ORACLE_SQL: dict = {name: text for m in _MODULES for name, text in m.ORACLE_SQL.items()}
 FLAGSHIP = "tile_summary"
