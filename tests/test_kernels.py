@@ -59,6 +59,21 @@ def test_median_and_mad_brute_force():
                 assert med[y, x] == m and mad[y, x] == sorted(abs(k - m) for k in v)[(len(v) + 1) // 2 - 1]
 
 
+def test_gaussian_derivatives_brute_force():
+    a = np.random.default_rng(5).random((15, 11))
+    for order in (0, 1, 2):
+        r, sigma = 6, 1.5
+        x = np.arange(-r, r + 1)
+        g = np.exp(-x * x / (2 * sigma**2))
+        g /= g.sum()
+        k = (g, -x / sigma**2 * g, (x * x / sigma**4 - 1 / sigma**2) * g)[order]
+        p = np.pad(a, [(0, 0), (r, r)], mode="symmetric")
+        want = np.stack([np.convolve(row, k, "valid") for row in p])
+        p = np.pad(want, [(r, r), (0, 0)], mode="symmetric")
+        want = np.stack([np.convolve(c, g, "valid") for c in p.T], 1)
+        assert np.allclose(kernels._gauss(a, sigma, (0, order)), want)
+
+
 def test_small_objects_and_holes():
     m = np.zeros((8, 8), bool)
     m[1:5, 1:5] = True
@@ -166,3 +181,13 @@ def test_stain_vectors_are_near_the_dyes():
     m = np.array(normalization.fit_macenko(px)["stain_matrix"])
     want = DYES / np.linalg.norm(DYES, axis=1, keepdims=True)
     assert np.abs(m - want).max() < 0.1
+
+
+def test_fold_filters_look_at_each_region_alone():
+    feature, fold = np.zeros((60, 80)), np.zeros((60, 80), bool)
+    for y, x, h, w, v in ((5, 5, 10, 40, 1.0), (30, 5, 10, 40, 0.05), (30, 60, 9, 9, 1.0)):
+        fold[y : y + h, x : x + w] = True
+        feature[y : y + h, x : x + w] = v
+    out = folds.filtered(fold, feature, 8.0, 0.4)
+    assert out[8, 20] and not out[33, 20] and not out[34, 64]  # kept; without contrast; a round speck
+    assert kernels.boxes(kernels.label(fold))[0] == ((5, 15, 5, 45), 5 * 80 + 5 + 1, 400)

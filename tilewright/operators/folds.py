@@ -69,16 +69,17 @@ def filtered(fold: np.ndarray, feature: np.ndarray, mpp: float, gate: float) ->
     fold = kernels.opening(fold, OPENING)
     labels, out = kernels.label(fold), np.zeros_like(fold)
     least = max(1, round(LEAST_AREA / mpp**2))
-    for k, area in kernels.sizes(labels).items():
-        region = labels == k
+    for (y0, y1, x0, x1), k, area in kernels.boxes(labels):
         if area <= least:
             continue
+        # A region is looked at in its box, with room for the bands around it.
+        part = np.s_[max(0, y0 - BAND - 1) : y1 + BAND + 1, max(0, x0 - BAND - 1) : x1 + BAND + 1]
+        region = labels[part] == k
         if area < SPECK_AREA / mpp**2 and kernels.circularity(area, kernels.perimeter(region)) > ROUND:
             continue
-        contrast = kernels.band_contrast(feature, region, BAND)
-        if contrast is not None and contrast < gate:
-            continue
-        out |= region
+        contrast = kernels.band_contrast(feature[part], region, BAND)
+        if contrast is None or contrast >= gate:
+            out[part] |= region
     return out
 
 

@@ -67,6 +67,19 @@ def sizes(labels: np.ndarray) -> dict[int, int]:
     return dict(zip(v.tolist(), n.tolist()))
 
 
+def boxes(labels: np.ndarray) -> list[tuple[tuple[int, int, int, int], int, int]]:
+    """((y0, y1, x0, x1), label, area) of each region, ends exclusive."""
+    y, x = np.nonzero(labels)
+    if not len(y):
+        return []
+    k = labels[y, x]
+    by = np.argsort(k, kind="stable")
+    y, x, k = y[by], x[by], k[by]
+    at = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+    ends = [np.minimum.reduceat(y, at), np.maximum.reduceat(y, at) + 1, np.minimum.reduceat(x, at), np.maximum.reduceat(x, at) + 1]
+    return list(zip(zip(*(e.tolist() for e in ends)), k[at].tolist(), np.diff(np.append(at, len(k))).tolist()))
+
+
 def remove_small(mask: np.ndarray, most: int, eight: bool = False) -> np.ndarray:
     """Mask without regions of up to `most` pixels (four neighbours, unless eight)."""
     labels = label(mask, eight)
@@ -148,22 +161,6 @@ def hsi(rgb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return i, s
 
 
-def _row_sums(a: np.ndarray, half: np.ndarray, radius: int) -> np.ndarray:
-    """Sums over a disc given by the half width of each of its rows; outside counts as 0."""
-    h, w = a.shape
-    total = np.zeros((h, w + 1))
-    np.cumsum(a, axis=1, out=total[:, 1:])
-    out = np.zeros((h, w))
-    x = np.arange(w)
-    for k, dy in enumerate(range(-radius, radius + 1)):
-        y0, y1 = max(0, -dy), h - max(0, dy)
-        if y0 >= y1:
-            continue
-        rows = total[y0 + dy : y1 + dy]
-        out[y0:y1] += rows[:, np.minimum(w, x + half[k] + 1)] - rows[:, np.maximum(0, x - half[k])]
-    return out
-
-
 def _half_widths(radius: int) -> np.ndarray:
     return np.array([int(np.sqrt(radius * radius - dy * dy)) for dy in range(-radius, radius + 1)])
 
@@ -208,36 +205,45 @@ def local_minimum_threshold(values: np.ndarray, bins: int = 30, inside: tuple[fl
 
 
 def masked_median_mad(values: np.ndarray, mask: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Median and median absolute deviation of 8-bit values over the mask's pixels in a disc, by counting
-    levels: each level costs one pass of row sums, whatever the radius."""
-    half = _half_widths(radius)
-    total = _row_sums(mask.astype(np.float64), half, radius)
-    want = np.ceil(total / 2)
-
-    def median(of) -> np.ndarray:
-        below, out, open_ = np.zeros(values.shape), np.zeros(values.shape), total > 0
-        for v in range(256):
-            below += _row_sums((mask & (of == v)).astype(np.float64), half, radius)
-            hit = open_ & (below >= want)
-            out[hit] = v
-            open_ &= ~hit
-            if not open_.any():
-                break
-        return out
+    """Median and median absolute deviation of 8-bit values over the mask's pixels in a disc (the lower one of two
+    middles); zero where there are none.
 
-    med = median(values)
-    # Deviations are from each centre's own median, so they are counted level by level around it.
-    below, mad, open_ = np.zeros(values.shape), np.zeros(values.shape), total > 0
-    per_level = {v: _row_sums((mask & (values == v)).astype(np.float64), half, radius) for v in np.unique(values[mask])} if mask.any() else {}
-    for d in range(256):
-        for side in (med - d, med + d) if d else (med,):
-            for v, n in per_level.items():
-                below += np.where(side == v, n, 0)
-        hit = open_ & (below >= want)
-        mad[hit] = d
-        open_ &= ~hit
-        if not open_.any():
-            break
+    A histogram for each column of the current row moves down with the disc: a step adds the disc's lower
+    border and takes away its upper one, so the cost grows with the diameter and not with the area.  The
+    deviations are those of the same histogram around its own median."""
+    h, w = values.shape
+    half = _half_widths(radius)
+    counts = np.zeros(w * 256, np.int32)
+    spans = [(max(0, -dx), min(w, w - dx), dx, int(half[dx + radius])) for dx in range(-radius, radius + 1) if abs(dx) < w]
+    column = np.arange(w) * 256
+    v, m = values.astype(np.int64), mask.astype(np.int32)
+
+    def move(row: int, a: int, b: int, dx: int, sign: int) -> None:
+        counts[column[a:b] + v[row, a + dx : b + dx]] += sign * m[row, a + dx : b + dx]
+
+    med, mad = np.zeros((h, w)), np.zeros((h, w))
+    for y in range(h):
+        for a, b, dx, r in spans:
+            if y == 0:
+                for row in range(min(h, r + 1)):
+                    move(row, a, b, dx, 1)
+            else:
+                if y + r < h:
+                    move(y + r, a, b, dx, 1)
+                if y - r - 1 >= 0:
+                    move(y - r - 1, a, b, dx, -1)
+        upto = counts.reshape(w, 256).cumsum(1)
+        total = upto[:, -1]
+        want = (total + 1) // 2
+        middle = (upto < want[:, None]).sum(1)
+        padded = np.concatenate([np.zeros((w, 1), upto.dtype), upto], axis=1)
+        each, low, high = np.arange(w), np.zeros(w, np.int64), np.full(w, 255)
+        for _ in range(8):  # the smallest distance that holds half of the pixels
+            d = (low + high) // 2
+            inside = padded[each, np.minimum(middle + d, 255) + 1] - padded[each, np.maximum(middle - d, 0)]
+            enough = inside >= want
+            high, low = np.where(enough, d, high), np.where(enough, low, np.minimum(d + 1, high))
+        med[y], mad[y] = np.where(total > 0, middle, 0), np.where(total > 0, high, 0)
     return med, mad
 
 
@@ -249,11 +255,11 @@ def _gauss(a: np.ndarray, sigma: float, orders: tuple[int, int]) -> np.ndarray:
     g /= g.sum()
     kernels = (g, -x / sigma**2 * g, (x * x / sigma**4 - 1 / sigma**2) * g)
     for axis, order in enumerate(orders):
-        pad = [(r, r) if k == axis else (0, 0) for k in (0, 1)]
-        p = np.pad(a, pad, mode="symmetric")
-        k = kernels[order][::-1]
-        n = a.shape[axis]
-        a = sum(k[i] * np.take(p, np.arange(i, i + n), axis=axis) for i in range(2 * r + 1))
+        n, p = a.shape[axis], np.moveaxis(a, axis, 1)
+        p = np.pad(p, [(0, 0), (r, r)], mode="symmetric")
+        size = 1 << int(np.ceil(np.log2(n + 4 * r)))
+        a = np.fft.irfft(np.fft.rfft(p, size, axis=1) * np.fft.rfft(kernels[order], size), size, axis=1)[:, 2 * r : 2 * r + n]
+        a = np.moveaxis(a, 1, axis)
     return a
 
 
