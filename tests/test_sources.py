@@ -146,3 +146,32 @@ def test_verified_has_three_answers(spark):
 
 def test_json_has_no_odd_numbers():
     assert sinks.canonical_json({"b": float("nan"), "a": [float("inf"), 1.5]}) == '{"a":[null,1.5],"b":null}'
+
+
+@pytest.mark.parametrize("target", [0.4, 0.7, 1.0, 1.9])
+def test_windows_fit_together_to_the_plane(target):
+    a = gradient(150, 210)
+    levels = [a, a[::2, ::2]]
+    data = sinks.encode_tiff(levels, tile=64, mpp=0.5)
+    found = images.tiff_levels(data)
+    whole, plan = images.plane_at(data, 0.5, target)
+    assert plan.level == (1 if target >= 0.95 else 0) and whole.shape[:2] == (plan.height, plan.width)
+    assert plan.achieved == pytest.approx(target, rel=0.02)
+    out = np.zeros_like(whole)
+    for y in range(0, plan.height, 37):
+        for x in range(0, plan.width, 41):
+            part = images.window_at(data, found, plan, x, y, 41, 37)
+            out[y : y + part.shape[0], x : x + part.shape[1]] = part
+    assert np.abs(out.astype(int) - whole).max() <= 1
+    banded, _ = images.plane_at(data, 0.5, target, band=16)
+    assert np.abs(banded.astype(int) - whole).max() <= 1
+
+
+def test_planes_of_files(spark, tmp_path):
+    a = gradient(64, 64)
+    (tmp_path / "a.tif").write_bytes(sinks.encode_tiff([a, a[::2, ::2]], 32, 0.5))
+    (tmp_path / "b.tif").write_bytes(sinks.encode_tiff([a], 32))
+    (tmp_path / "c.tif").write_bytes(b"II*")
+    got = {r.path.rpartition("/")[2]: r for r in images.analysis_planes(spark, str(tmp_path), 1.0).collect()}
+    assert (got["a.tif"].h, got["a.tif"].level) == (32, 1) and got["a.tif"].achieved_mpp == pytest.approx(1.0)
+    assert got["b.tif"].error == "the scale is not known" and got["c.tif"].error_type is not None

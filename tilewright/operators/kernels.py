@@ -344,25 +344,27 @@ def resized_nearest(a: np.ndarray, h: int, w: int) -> np.ndarray:
     return a[y][:, x]
 
 
-def resized(a: np.ndarray, h: int, w: int) -> np.ndarray:
-    """Box averages when shrinking, linear interpolation when enlarging; 8-bit in, 8-bit out."""
+def resized(a: np.ndarray, h: int, w: int, box: tuple[float, float, float, float] | None = None) -> np.ndarray:
+    """Area averages when shrinking, linear interpolation when enlarging; 8-bit in, 8-bit out.  box: the part
+    (y0, y1, x0, x1) of the source, in fractions of pixels, that the output stands for."""
+    y0, y1, x0, x1 = box or (0.0, float(a.shape[0]), 0.0, float(a.shape[1]))
     out = a.astype(np.float64)
-    for axis, n in ((0, h), (1, w)):
-        out = np.moveaxis(np.tensordot(_weights(a.shape[axis], n), out, (1, axis)), 0, axis)
+    for axis, (n, low, high) in enumerate(((h, y0, y1), (w, x0, x1))):
+        out = np.moveaxis(np.tensordot(_weights(a.shape[axis], n, low, high), out, (1, axis)), 0, axis)
     return np.clip(np.rint(out), 0, 255).astype(np.uint8)
 
 
-def _weights(n: int, m: int) -> np.ndarray:
-    scale = n / m
-    out = np.zeros((m, n))
+def _weights(n: int, m: int, low: float, high: float) -> np.ndarray:
+    """m x n: shares of n source pixels in each of m output pixels over the stretch low..high."""
+    scale, out = (high - low) / m, np.zeros((m, n))
     if scale > 1:
         for k in range(m):
-            a, b = k * scale, (k + 1) * scale
-            for j in range(int(a), min(n, int(np.ceil(b)))):
-                out[k, j] = min(b, j + 1) - max(a, j)
+            a, b = low + k * scale, low + (k + 1) * scale
+            for j in range(max(0, int(a)), min(n, int(np.ceil(b)))):
+                out[k, j] = max(0.0, min(b, j + 1) - max(a, j))
     else:
-        at = np.clip((np.arange(m) + 0.5) * scale - 0.5, 0, n - 1)
-        low = np.minimum(at.astype(np.int64), max(0, n - 2))
-        out[np.arange(m), low] += 1 - (at - low)
-        out[np.arange(m), np.minimum(low + 1, n - 1)] += at - low
+        at = np.clip(low + (np.arange(m) + 0.5) * scale - 0.5, 0, n - 1)
+        left = np.minimum(at.astype(np.int64), max(0, n - 2))
+        out[np.arange(m), left] += 1 - (at - left)
+        out[np.arange(m), np.minimum(left + 1, n - 1)] += at - left
     return out / out.sum(1, keepdims=True)

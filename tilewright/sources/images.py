@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from tilewright.operators.kernels import resized_nearest
+from tilewright.operators.kernels import resized, resized_nearest
 from tilewright.shipping import ship
 
 #: Pixels of an image that are decoded at most; how far a mask's shape may be off.
@@ -173,6 +173,76 @@ def read_level(data: bytes, level: TiffLevel, x: int = 0, y: int = 0, w: int | N
     return out[..., 0] if level.samples == 1 else out
 
 
+@dataclass
+class ScalePlan:
+    """The level that a plane at some scale is read from, and the plane's size."""
+
+    level: int
+    ratio: float
+    width: int
+    height: int
+    achieved: float
+
+
+def scale_plan(levels: list[TiffLevel], mpp: float, target: float, tolerance: float = 0.1) -> ScalePlan:
+    """The coarsest level that is at least as fine as the target (within the tolerance), else the finest."""
+    scales = [mpp * levels[0].width / v.width for v in levels]
+    fit = [(s, k) for k, s in enumerate(scales) if s <= target * (1 + tolerance)]
+    scale, k = max(fit) if fit else min((s, k) for k, s in enumerate(scales))
+    ratio = target / scale
+    w, h = (max(1, round(v / ratio)) for v in (levels[k].width, levels[k].height))
+    return ScalePlan(k, ratio, w, h, levels[k].width * scale / w)
+
+
+def window_at(data: bytes, levels: list[TiffLevel], plan: ScalePlan, x: int, y: int, w: int, h: int) -> np.ndarray:
+    """A window of the plane, from the stretch of the level that it stands for and one pixel more each way, so that
+    windows fit together as if the plane had been read at once."""
+    if x < 0 or y < 0 or x >= plan.width or y >= plan.height:
+        raise ImageError("window outside the plane")
+    w, h = min(w, plan.width - x), min(h, plan.height - y)
+    level = levels[plan.level]
+    sx, sy = level.width / plan.width, level.height / plan.height
+    x0, x1, y0, y1 = x * sx, (x + w) * sx, y * sy, (y + h) * sy
+    left, top = max(0, int(x0) - 1), max(0, int(y0) - 1)
+    right, bottom = min(level.width, int(np.ceil(x1)) + 1), min(level.height, int(np.ceil(y1)) + 1)
+    part = read_level(data, level, left, top, right - left, bottom - top)
+    return resized(part, h, w, (y0 - top, y1 - top, x0 - left, x1 - left))
+
+
+def plane_at(data: bytes, mpp: float | None, target: float, max_pixels: int = MAX_PIXELS, band: int = 512) -> tuple[np.ndarray, ScalePlan]:
+    """The whole plane at a scale, read in bands."""
+    levels = tiff_levels(data)
+    if mpp is None or not np.isfinite(mpp) or mpp <= 0:
+        raise ImageError("the scale is not known")
+    plan = scale_plan(levels, mpp, target)
+    if plan.width * plan.height > max_pixels:
+        raise ImageError(f"a plane of {plan.width} x {plan.height} is over {max_pixels} pixels")
+    rows = [as_rgb(window_at(data, levels, plan, 0, y, plan.width, band)) for y in range(0, plan.height, band)]
+    return np.concatenate(rows), plan
+
+
+def analysis_planes(spark: SparkSession, path: str, target: float, pattern: str = "*.tif*") -> DataFrame:
+    """(path, h, w, data, level, achieved_mpp, error_type, error): each pyramid's plane at a scale; the scale of a
+    file is that of its resolution tags."""
+    ship(spark)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["path", "h", "w", "data", "level", "achieved_mpp", "error_type", "error"]
+        for f in frames:
+            out = []
+            for p, content in zip(f["path"], f["content"]):
+                try:
+                    top = tiff_levels(content)[0]
+                    mpp = {2: 25400.0, 3: 10000.0}.get(top.unit, 25400.0) / top.resolution[0] if top.resolution else None
+                    a, plan = plane_at(content, mpp, target)
+                    out.append((p, a.shape[0], a.shape[1], a.tobytes(), plan.level, plan.achieved, None, None))
+                except Exception as e:
+                    out.append((p, None, None, None, None, None, type(e).__name__, str(e)[:300]))
+            yield pd.DataFrame(out, columns=names).astype({"h": "Int32", "w": "Int32", "level": "Int32"})
+
+    return files(spark, path, pattern).select("path", "content").mapInPandas(run, "path string, h int, w int, data binary, level int, achieved_mpp double, error_type string, error string")
+
+
 def decode(data: bytes, max_pixels: int = MAX_PIXELS) -> np.ndarray:
     if data[:4] == b"\x89PNG":
         return decode_png(data, max_pixels)
