@@ -191,3 +191,30 @@ def test_fold_filters_look_at_each_region_alone():
     out = folds.filtered(fold, feature, 8.0, 0.4)
     assert out[8, 20] and not out[33, 20] and not out[34, 64]  # kept; without contrast; a round speck
     assert kernels.boxes(kernels.label(fold))[0] == ((5, 15, 5, 45), 5 * 80 + 5 + 1, 400)
+
+
+def test_outlines_follow_the_border():
+    m = np.zeros((9, 9), bool)
+    m[2:6, 3:8] = True
+    m[8, 0] = True
+    rings = kernels.outlines(m)
+    assert rings[0] == [(3, 2), (7, 2), (7, 5), (3, 5), (3, 2)] and rings[1] == [(0, 8), (0, 8)]
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        m = rng.random((7, 8)) < 0.5
+        labels = kernels.label(m)
+        for ring, (_, k, area) in zip(kernels.outlines(m), kernels.boxes(labels)):
+            assert ring[0] == ring[-1] and all(labels[y, x] == k for x, y in ring)
+            ys, xs = np.nonzero(labels == k)
+            assert {min(x for x, _ in ring), max(x for x, _ in ring)} == {xs.min(), xs.max()} and {min(y for _, y in ring), max(y for _, y in ring)} == {ys.min(), ys.max()}
+
+
+def test_polygons_are_scaled_to_the_plane():
+    from tilewright.operators import artifacts
+
+    classes = np.full((8, 8), 7)
+    classes[:4, :4], classes[4:, :4] = 2, 4
+    (ring,) = artifacts.polygons(classes, "pen", 1.0, 0.5)
+    assert ring[0] == ring[-1] and all(0 <= x <= 6 and 8 <= y <= 14 for x, y in ring)
+    assert artifacts.fits_plane((8, 8), (16, 16), 1.0, 0.5) and not artifacts.fits_plane((8, 8), (32, 32), 1.0, 0.5)
+    assert artifacts.finest_model([2.0, 1.0], 1.5) == 1.0 and artifacts.finest_model([]) is None

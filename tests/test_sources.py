@@ -175,3 +175,11 @@ def test_planes_of_files(spark, tmp_path):
     got = {r.path.rpartition("/")[2]: r for r in images.analysis_planes(spark, str(tmp_path), 1.0).collect()}
     assert (got["a.tif"].h, got["a.tif"].level) == (32, 1) and got["a.tif"].achieved_mpp == pytest.approx(1.0)
     assert got["b.tif"].error == "the scale is not known" and got["c.tif"].error_type is not None
+
+
+def test_thumbnails_are_bounded():
+    a = gradient(100, 200)
+    data = sinks.encode_tiff([a, a[::2, ::2]], tile=32)
+    assert images.thumbnail(data, 50).shape == (25, 50, 3) and images.thumbnail(data).shape == (50, 100, 3)
+    with pytest.raises(images.ImageError):
+        images.thumbnail(data, max_pixels=10)

@@ -52,6 +52,25 @@ def merged(tiles: DataFrame, artifacts: DataFrame, order: str = "ord", key: str
     return tiles.join(named, on, "left").drop(*[f"__{c}" for c in place])
 
 
+def polygons(class_map, cls: str | int, model_mpp: float, plane_mpp: float) -> list[list[list[float]]]:
+    """Closed rings around the regions of a class (a NumPy map), in pixels of the tile plane."""
+    from tilewright.operators.kernels import outlines
+
+    scale = model_mpp / plane_mpp
+    return [[[x * scale, y * scale] for x, y in ring] for ring in outlines(class_map == class_id(cls))]
+
+
+def finest_model(available: list[float], wanted: float | None = None) -> float | None:
+    """The scale of the model to use: the wanted one if it is there, else the finest; none without any."""
+    return wanted if wanted in available else min(available, default=None)
+
+
+def fits_plane(class_shape: tuple[int, int], plane: tuple[int, int], model_mpp: float, plane_mpp: float, most: float = 0.02) -> bool:
+    """Whether a class map (h, w) can belong to a plane (w, h): sides within two per cent."""
+    scale = model_mpp / plane_mpp
+    return all(abs(c * scale / p - 1) <= most for c, p in ((class_shape[1], plane[0]), (class_shape[0], plane[1])))
+
+
 def region_stats(labels: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, label, area, y0, x0, y1, x1) of each region; labels: (keys, y, x, label)."""
     return labels.groupBy(*keys, "label").agg(F.count(F.lit(1)).alias("area"), F.min("y").alias("y0"), F.min("x").alias("x0"), (F.max("y") + 1).alias("y1"), (F.max("x") + 1).alias("x1"))

@@ -80,6 +80,53 @@ def boxes(labels: np.ndarray) -> list[tuple[tuple[int, int, int, int], int, int]
     return list(zip(zip(*(e.tolist() for e in ends)), k[at].tolist(), np.diff(np.append(at, len(k))).tolist()))
 
 
+#: Neighbours clockwise from the left.
+AROUND = ((0, -1), (-1, -1), (-1, 0), (-1, 1), (0, 1), (1, 1), (1, 0), (1, -1))
+
+
+def outline(region: np.ndarray) -> list[tuple[int, int]]:
+    """The outer border of one region as a closed ring of (x, y) pixel centres, clockwise, without the points in the
+    middle of straight stretches."""
+    ys, xs = np.nonzero(region)
+    if not len(ys):
+        return []
+    padded = np.pad(region, 1)
+    start = (int(ys[0]) + 1, int(xs[0]) + 1)  # the first pixel in reading order: nothing is to its left or above
+    ring, at, came = [start], start, 0
+    while True:
+        for k in range(8):
+            turn = (came + k) % 8
+            y, x = at[0] + AROUND[turn][0], at[1] + AROUND[turn][1]
+            if padded[y, x]:
+                break
+        else:
+            break  # a single pixel
+        at, came = (y, x), (turn + 6) % 8 if turn % 2 == 0 else (turn + 5) % 8
+        if len(ring) > 1 and at == ring[1] and ring[-1] == start:
+            break
+        ring.append(at)
+        if len(ring) > 4 * region.size + 8:
+            break
+    if len(ring) == 1:
+        ring = [start, start]
+    if ring[-1] != start:
+        ring.append(start)
+    points = [(x - 1, y - 1) for y, x in ring]
+    out = [points[0]]
+    for a, b, c in zip(points, points[1:], points[2:]):
+        if (b[0] - a[0], b[1] - a[1]) != (c[0] - b[0], c[1] - b[1]):
+            out.append(b)
+    return [*out, points[-1]]
+
+
+def outlines(mask: np.ndarray) -> list[list[tuple[int, int]]]:
+    """The outer border of each region (eight neighbours) of a mask."""
+    labels, out = label(mask), []
+    for (y0, y1, x0, x1), k, _ in boxes(labels):
+        out.append([(x + x0, y + y0) for x, y in outline(labels[y0:y1, x0:x1] == k)])
+    return out
+
+
 def remove_small(mask: np.ndarray, most: int, eight: bool = False) -> np.ndarray:
     """Mask without regions of up to `most` pixels (four neighbours, unless eight)."""
     labels = label(mask, eight)

@@ -221,6 +221,15 @@ def plane_at(data: bytes, mpp: float | None, target: float, max_pixels: int = MA
     return np.concatenate(rows), plan
 
 
+def thumbnail(data: bytes, edge: int = 1024, max_pixels: int = MAX_PIXELS) -> np.ndarray:
+    """The smallest level, no larger than an edge; refused if that level itself is too large to read."""
+    level = min(tiff_levels(data), key=lambda v: v.width * v.height)
+    if level.width * level.height > max_pixels:
+        raise ImageError(f"the smallest level has {level.width * level.height} pixels")
+    a, scale = as_rgb(read_level(data, level)), min(1.0, edge / max(level.width, level.height))
+    return a if scale == 1 else resized(a, max(1, round(a.shape[0] * scale)), max(1, round(a.shape[1] * scale)))
+
+
 def analysis_planes(spark: SparkSession, path: str, target: float, pattern: str = "*.tif*") -> DataFrame:
     """(path, h, w, data, level, achieved_mpp, error_type, error): each pyramid's plane at a scale; the scale of a
     file is that of its resolution tags."""
