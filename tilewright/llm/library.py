@@ -13,7 +13,7 @@ from tilewright.llm.pretokenize import distinct_pieces
 RUN, TEXTS = 200, 50
 
 #: Entries of a worker's memory.
-ENTRIES = 700_000
+ENTRIES = 400_000
 
 
 class LibraryEncoder(Encoder):
