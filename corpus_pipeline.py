@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilewright.llm import bpe, mixing, quality, simhash, suffix_dedup
+from tilewright.llm import bpe, mixing, near_copies, quality, suffix_dedup
 from tilewright.llm._common import configure, staged, table
 from tilewright.llm.vocab import public_path
 
@@ -20,10 +20,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each SimHash class; of rows that share this id, one."""
+    """The document of the smallest id of each class of near copies; of rows that share this id, one."""
     configure(spark)
-    classes = simhash.near_duplicates(docs)
-    first = staged(classes.filter("doc_id <=> component_id").groupBy(F.col("doc_id").alias("id")).count(), "first")
+    classes = near_copies.classes(docs)
+    smallest = classes.groupBy("root").agg(F.min("doc_id").alias("id"))
+    first = staged(classes.join(smallest, "root").filter("doc_id <=> id").groupBy("id").count(), "first")
     kept = docs.join(first, docs["doc_id"].eqNullSafe(first["id"]), "left_semi")
     return kept.dropDuplicates(["doc_id"]) if first.filter("count > 1").limit(1).count() else kept
 

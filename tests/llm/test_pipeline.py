@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -10,6 +11,7 @@ import corpus_pipeline
 from tests.llm.fixtures import SCHEMA, words
 from tests.llm.test_dedup import classes, plain_fingerprint, removed
 from tests.llm.test_others import plain_measures
+from tilewright.llm import near_copies
 from tilewright.llm.queries import QUERIES
 from tilewright.llm.vocab import public_path
 
@@ -63,3 +65,35 @@ def test_stages_one_by_one(spark, tmp_path):
 
 def test_each_operator_has_its_query():
     assert [q.split("_")[0] for q in sorted(QUERIES, key=lambda q: int(q[2:].split("_")[0]))] == [f"op{n}" for n in range(1, 11)]
+
+
+def edited(rng, text, every):
+    """The text with about one word in `every` changed."""
+    return " ".join(w if rng.randrange(every) else w + "x" for w in text.split())
+
+
+def plain_set(text):
+    w = text.lower().split()
+    return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+
+
+@pytest.mark.parametrize("limit", [256, 3])
+def test_edited_copies_by_their_exact_similarity(spark, limit, monkeypatch):
+    monkeypatch.setattr(near_copies.classes, "__defaults__", (limit,))
+    rng, texts = random.Random(3), []
+    for k in range(30):
+        texts.append(words(rng, rng.randint(20, 200)))
+        texts += [edited(rng, texts[-1], rng.choice([25, 50, 100])) for _ in range(rng.randint(0, 3) if k else 25)]
+    line = words(rng, 12)
+    texts += [line + " " + words(rng, 20) for _ in range(20)] + ["", "a b", "A  b"]
+    sets = [plain_set(t) for t in texts]
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and root[a] != root[b]:
+                root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
+    docs = spark.createDataFrame([(i, t, "en", "src0", 0) for i, t in enumerate(texts)], SCHEMA).repartition(3)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root)) and len(set(root)) < len(texts) - 30
+    fps = [plain_fingerprint(t) for t in texts]
+    assert len(set(classes(fps, range(len(texts))))) > len(set(root))  # what SimHash within 3 bits leaves
