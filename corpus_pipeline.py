@@ -20,13 +20,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each class of near copies; of rows that share this id, one."""
+    """One row of each class of near copies: of the smallest id (null last), then of the smallest row hashes."""
     configure(spark)
-    classes = near_copies.classes(docs)
-    smallest = classes.groupBy("root").agg(F.min("doc_id").alias("id"))
-    first = staged(classes.join(smallest, "root").filter("doc_id <=> id").groupBy("id").count(), "first")
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"]) if first.filter("count > 1").limit(1).count() else kept
+    rows = near_copies.classes(docs).groupBy("root", "doc_id", "k1", "k2").count()
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2", "count")).alias("first")
+    first = staged(rows.groupBy("root").agg(first).select("first.k1", "first.k2", "first.count"), "first")
+    kept = docs.select("*", *near_copies.row_keys(docs)).join(first.select("k1", "k2"), ["k1", "k2"], "left_semi")
+    if first.filter("count > 1").limit(1).count():  # whole rows that repeat
+        kept = kept.dropDuplicates(["k1", "k2"])
+    return kept.select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +41,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it (not at all, once or twice)."""
     configure(spark)
     columns = docs.columns
-    taken = mixing.mixed(docs, [5, 2, 1], 1.5).filter("copies > 0").select(F.col("doc_id").alias("id"), "copies")
-    rows = docs.join(taken, docs.doc_id.eqNullSafe(taken.id)).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    docs = docs.select("*", near_copies.row_keys(docs)[0])  # ids may be null or used again
+    taken = mixing.mixed(docs, [5, 2, 1], 1.5, id="k1").groupBy(F.col("doc_id").alias("id"))
+    taken = staged(taken.agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).filter("copies > 0"), "taken")
+    if taken.filter("rows > 1").limit(1).count():  # whole rows that repeat
+        docs = docs.dropDuplicates(["k1"])
+    rows = docs.join(taken, docs.k1 == taken.id).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     return rows.select(*columns)
 
 

@@ -97,3 +97,19 @@ def test_edited_copies_by_their_exact_similarity(spark, limit, monkeypatch):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root)) and len(set(root)) < len(texts) - 30
     fps = [plain_fingerprint(t) for t in texts]
     assert len(set(classes(fps, range(len(texts))))) > len(set(root))  # what SimHash within 3 bits leaves
+
+
+def test_one_row_of_each_class_with_null_and_reused_ids(spark):
+    rng = random.Random(8)
+    t = [words(rng, 80) for _ in range(6)]
+    rows = [(None, t[0], "en", "src0", 0), (None, t[1], "en", "src0", 0), (None, t[2], "en", None, 0), (None, t[2], "en", None, 0)]  # the last two are one row twice
+    rows += [(7, t[3], "en", "src0", 0), (7, t[4], "en", "src0", 0), (7, t[4], None, "src1", 0), (9, t[5], "en", "src0", 0), (None, t[5], "en", "src0", 0), (8, t[5], "en", "src0", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = [sorted(map(repr, corpus_pipeline.near_duplicates(spark, docs.repartition(n), "").collect())) for n in (1, 4)]
+    assert got[0] == got[1]
+    kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=repr) == sorted([(None, t[0]), (None, t[1]), (None, t[2]), (7, t[3]), (7, t[4]), (8, t[5])], key=repr)
+    rows = [(None, t[0], "en", "src0", 0), (None, t[1], "en", "src0", 0), (7, t[2], "en", "src0", 0), (7, t[3], "en", "src0", 0), (7, t[3], "en", "src0", 0)]
+    mixed = corpus_pipeline.mix(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
+    n = Counter((r.doc_id, r.text) for r in mixed)
+    assert 6 <= len(mixed) <= 9 and all(k <= 2 * sum(r[:2] == x for r in rows) for x, k in n.items())
