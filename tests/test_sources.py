@@ -183,3 +183,15 @@ def test_thumbnails_are_bounded():
     assert images.thumbnail(data, 50).shape == (25, 50, 3) and images.thumbnail(data).shape == (50, 100, 3)
     with pytest.raises(images.ImageError):
         images.thumbnail(data, max_pixels=10)
+
+
+def test_bound_of_pixels_is_that_of_the_configuration(spark, tmp_path):
+    from tilewright.plans import config
+
+    assert images.MAX_PIXELS == config.DEFAULTS["read"]["max_pixels"] == 67_108_864
+    (tmp_path / "a.png").write_bytes(sinks.encode_png(np.zeros((8, 8, 3), np.uint8)))
+    assert images.images(spark, str(tmp_path), "*.png", max_pixels=63).first().error_type == "ImageError"
+    a = gradient(64, 64)
+    (tmp_path / "a.tif").write_bytes(sinks.encode_tiff([a, a[::2, ::2]], 32, 0.5))
+    found = [images.analysis_planes(spark, str(tmp_path), 1.0, max_pixels=n).first().error_type for n in (1023, 1024)]
+    assert found == ["ImageError", None]

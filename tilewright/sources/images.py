@@ -22,7 +22,7 @@ from tilewright.operators.kernels import resized, resized_nearest
 from tilewright.shipping import ship
 
 #: Pixels of an image that are decoded at most; how far a mask's shape may be off.
-MAX_PIXELS, ASPECT = 64_000_000, 0.01
+MAX_PIXELS, ASPECT = 64 * 1024 * 1024, 0.01
 
 
 class ImageError(ValueError):
@@ -230,7 +230,7 @@ def thumbnail(data: bytes, edge: int = 1024, max_pixels: int = MAX_PIXELS) -> np
     return a if scale == 1 else resized(a, max(1, round(a.shape[0] * scale)), max(1, round(a.shape[1] * scale)))
 
 
-def analysis_planes(spark: SparkSession, path: str, target: float, pattern: str = "*.tif*") -> DataFrame:
+def analysis_planes(spark: SparkSession, path: str, target: float, pattern: str = "*.tif*", max_pixels: int = MAX_PIXELS) -> DataFrame:
     """(path, h, w, data, level, achieved_mpp, error_type, error): each pyramid's plane at a scale; the scale of a
     file is that of its resolution tags."""
     ship(spark)
@@ -243,7 +243,7 @@ def analysis_planes(spark: SparkSession, path: str, target: float, pattern: str
                 try:
                     top = tiff_levels(content)[0]
                     mpp = {2: 25400.0, 3: 10000.0}.get(top.unit, 25400.0) / top.resolution[0] if top.resolution else None
-                    a, plan = plane_at(content, mpp, target)
+                    a, plan = plane_at(content, mpp, target, max_pixels)
                     out.append((p, a.shape[0], a.shape[1], a.tobytes(), plan.level, plan.achieved, None, None))
                 except Exception as e:
                     out.append((p, None, None, None, None, None, type(e).__name__, str(e)[:300]))
