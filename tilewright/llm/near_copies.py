@@ -1,17 +1,20 @@
-"""Near copies by exact Jaccard similarity of five-word shingle sets.
-
-Two sets of similarity >= 0.8 share one of their first n - ceil(0.8 n) + 1 shingles, whatever the order of
-shingles is, as long as all sets follow the same.  So sets are indexed by these prefixes, equal shingles are
-brought together by one shuffle, and pairs that their sizes and places allow are verified on the whole
-sets: every pair of the similarity is found, and no other.  (A SimHash radius cannot do that: at 0.8
-fingerprints differ in about 10 of 64 bits.)  Shingles that are frequent in a sample come last in the
-order, so that common lines seldom index anything; the sample bears on speed only.  Before whole sets are
-read, bitmaps of 2,048 bits rule out pairs: a bit that one set has and the other has not is a shingle
-of the one that the other lacks.
-
-Sets that share a shingle with very many others are not paired with all of them: each round every such
-group is compared with one of its members, and what is linked already is left out.  Only members that
-a few rounds leave apart are paired with each other."""
+"""Near copies: operator 3 at a Jaccard similarity of five-word shingle sets instead of a radius.
+
+Two sources of candidates, one test.  SimHash fingerprints of the sets, linked through deletion-variant
+signatures (simhash.links), come first: they join exact copies and light edits.  At a similarity of 0.8
+fingerprints differ in about 10 of 64 bits, which no radius with one wildcard reaches, so an exact way
+finds the rest: two sets of similarity >= 0.8 share one of their first n - ceil(0.8 n) + 1 shingles,
+whatever the order of shingles is, as long as all sets follow the same.  Sets are indexed by these
+prefixes, equal shingles are brought together by one shuffle, and pairs that their sizes and places
+allow are kept.  Shingles that are frequent in a sample come last in the order, so that common lines
+seldom index anything; the sample bears on speed only.  Before whole sets are read, bitmaps rule out
+pairs: a bit that one set has and the other has not is a shingle of the one that the other lacks.  Every
+link, of either source, is verified on the whole sets.
+
+Sets that share a shingle with very many others are not paired with all of them: every such group is
+compared with a few of its members, and what is linked already is left out.  Only members that some
+rounds leave apart are paired with each other.  Of the pairs of a family a few of each node are verified
+first, then one for each two classes that are still apart, then the rest."""
 
 from __future__ import annotations
 
@@ -23,17 +26,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tilewright.llm import simhash
 from tilewright.llm._common import arrow_map, bytes_of, configure, staged, task_memory
 from tilewright.llm.components import components
 
-#: Largest group that is paired at once, rows handled at once, rounds with one member of each larger group or one pair of each node.
-GROUP_LIMIT, ROWS_AT_ONCE, ROUNDS = 256, 200_000, 4
+#: Largest group that is paired at once, rows handled at once, members that a larger group is compared with in a round, and rounds.
+GROUP_LIMIT, ROWS_AT_ONCE, HUBS, ROUNDS = 128, 200_000, 4, 4
 
 #: Documents of the sample, and how many of them make a shingle frequent; at most so many are sent out.
 SAMPLE, FREQUENT, FREQUENT_MOST = 4000, 8, 100_000
 
 #: Bits of a bitmap, and up to how many row keys are sent to all executors instead of dealing out texts.
-BITS, SENT = 2048, 200_000
+BITS, SENT = 1024, 50_000
 
 
 def shingle_set(text: bytes, shingle: int = 5) -> np.ndarray:
@@ -72,26 +76,45 @@ def _frequent(docs: DataFrame) -> np.ndarray:
     return np.array([r.s for r in counts.orderBy(F.desc("count"), "s").limit(FREQUENT_MOST).collect()], np.int64).view(np.uint64)
 
 
+def fingerprint(s: np.ndarray) -> int:
+    """SimHash of a set: a bit is 1 if it is set in over half of the values; an empty set has zero."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(s), 65536):
+        ones += np.unpackbits(s[at : at + 65536].view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(s)).tobytes(), "little")
+
+
 def _rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, k1, k2, node, n, prefix, bits) for each row: node identifies its shingle set of n shingles."""
+    """(doc_id, k1, k2, node, n, fp, prefix, bits) for each row: node identifies its shingle set of n shingles."""
     frequent = np.sort(_frequent(docs))
 
     def kernel(b: pa.RecordBatch) -> pa.RecordBatch:
-        nodes, sizes, prefixes, maps = [], [], [], []
+        nodes, sizes, fps, prefixes, maps = [], [], [], [], []
         for t in bytes_of(b.column(3)):
             s = shingle_set(t)
             nodes.append(xxhash.xxh3_64_intdigest(s.tobytes()))
             sizes.append(len(s))
+            fps.append(fingerprint(s))
             maps.append(bitmap(s))
             if len(frequent) and len(s):
                 late = frequent[np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)] == s
                 s = np.concatenate([s[~late], s[late]])
             prefixes.append(s[: prefix_size(len(s))].tobytes())
-        made = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.binary()), pa.array(maps, pa.binary())]
-        return pa.RecordBatch.from_arrays([*b.columns[:3], *made], ["doc_id", "k1", "k2", "node", "n", "prefix", "bits"])
+        signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
+        made = [signed(nodes), pa.array(sizes, pa.int32()), signed(fps), pa.array(prefixes, pa.binary()), pa.array(maps, pa.binary())]
+        return pa.RecordBatch.from_arrays([*b.columns[:3], *made], ["doc_id", "k1", "k2", "node", "n", "fp", "prefix", "bits"])
 
     keyed = docs.select(docs["doc_id"].cast("long").alias("doc_id"), *row_keys(docs), docs["text"].alias("text"))
-    return arrow_map(keyed, kernel, "doc_id long, k1 long, k2 long, node long, n int, prefix binary, bits binary")
+    return arrow_map(keyed, kernel, "doc_id long, k1 long, k2 long, node long, n int, fp long, prefix binary, bits binary")
+
+
+def _light(nodes: DataFrame) -> DataFrame:
+    """(a, b): pairs of nodes of equal fingerprints or such that SimHash links within 3 bits."""
+    firsts = staged(nodes.groupBy("fp").agg(F.min("node").alias("first")), "firsts")
+    equal = nodes.select("node", F.col("fp").alias("own")).join(firsts, F.col("own") == firsts.fp).filter("node > first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    x, y = (firsts.select(F.col("fp").alias(c), F.col("first").alias(f"first_{c}")) for c in "ab")
+    near = simhash.links(firsts.select("fp")).join(x, "a").join(y, "b")
+    return equal.union(near.select(F.least("first_a", "first_b"), F.greatest("first_a", "first_b")))
 
 
 def _entries(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -126,17 +149,33 @@ def _pairs(s, node, n, at) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _grouped(limit: int):
-    """Of entries sorted by s: possible pairs (a, b) of groups of up to `limit` rows, and the rows of
-    larger groups.  At most a block and a small group are held."""
+    """Of entries sorted by s and node: possible pairs (a, b) of groups of up to `limit` rows, pairs of the
+    rows of larger groups with the first few, and the rows of larger groups themselves.  At most a block
+    and a small group are held."""
     names = ["a", "b", "s", "n", "at"]
 
+    def hubbed(rows, hubs):
+        """Pairs of the rows of one large group with its hubs, both (s, node, n, at)."""
+        _, node, n, at = rows
+        for _, hub, size, place in zip(*hubs):
+            good = (node != hub) & possible(n, at, size, place)
+            yield np.minimum(node[good], hub), np.maximum(node[good], hub)
+
     def block(s, node, n, at, hot):
+        """hot: the first rows of the group that the last block ended with, if it was large."""
         starts = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
         sizes = np.diff(np.append(starts, len(s)))
         large = np.repeat(sizes > limit, sizes)
         if hot is not None:
-            large |= s == hot
-        a, b = _pairs(*(x[~large] for x in (s, node, n, at)))
+            large |= s == hot[0][0]
+        found = [_pairs(*(x[~large] for x in (s, node, n, at)))]
+        for k, size in zip(starts.tolist(), sizes.tolist()):
+            if large[k]:
+                group = tuple(x[k : k + size] for x in (s, node, n, at))
+                found += hubbed(group, hot if hot is not None and group[0][0] == hot[0][0] else tuple(x[:HUBS] for x in group))
+        a, b = (np.concatenate(x) for x in zip(*found))
+        if len(found) > 1 and len(a):
+            a, b = np.unique(np.stack([a, b], 1), axis=0).T
         if len(a):
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.int32())], names)
         if large.any():
@@ -160,7 +199,9 @@ def _grouped(limit: int):
             cut = int(np.searchsorted(all_[0], all_[0][-1]))  # the last group may go on
             if len(all_[0]) - cut > limit:  # it is large already
                 yield from block(*all_, hot)
-                hot, held, rows = all_[0][-1], [], 0
+                if hot is None or hot[0][0] != all_[0][-1]:
+                    hot = tuple(x[cut : cut + HUBS].copy() for x in all_)
+                held, rows = [], 0
                 continue
             if cut:
                 yield from block(*(c[:cut] for c in all_), hot)
@@ -171,7 +212,7 @@ def _grouped(limit: int):
     return run
 
 
-def _hopeful(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+def _hopeful(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) that the bitmaps of their sets do not rule out."""
 
     def hopeful(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -180,28 +221,22 @@ def _hopeful(pairs: DataFrame, rows: DataFrame) -> DataFrame:
         both = np.minimum(n - np.bitwise_count(x & ~y).sum(1, dtype=np.int64), m - np.bitwise_count(y & ~x).sum(1, dtype=np.int64))
         return b.select([0, 1]).filter(pa.array(9 * both >= 4 * (n + m)))
 
-    ends = staged(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "ends")
-    maps = rows.select("node", "n", "bits").join(ends, "node", "left_semi").dropDuplicates(["node"])
-    x, y = (maps.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab")
+    x, y = (nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab")
     return staged(arrow_map(pairs.join(x, "a").join(y, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b"), hopeful, "a long, b long"), "hopeful")
 
 
-def _sets(pairs: DataFrame, docs: DataFrame, rows: DataFrame) -> DataFrame:
+def _sets(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, set) for the nodes of the pairs."""
 
     def sets(b: pa.RecordBatch) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t).tobytes() for t in bytes_of(b.column(1))], pa.binary())], ["node", "set"])
 
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    one = rows.select("node", "k1", "k2").join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("k"))
-    one = staged(one.select("node", F.col("k.k1").alias("one1"), F.col("k.k2").alias("one2")), "one")
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    one = staged(nodes.join(ends, "node", "left_semi").select("node", F.col("k1").alias("one1"), F.col("k2").alias("one2")), "one")
     few = F.broadcast(one) if one.count() <= SENT else one
     texts = docs.select(*row_keys(docs), docs["text"].alias("text"))
     found = texts.join(few, (texts.k1 == one.one1) & (texts.k2 == one.one2)).select("node", "text")
-    made = staged(arrow_map(found, sets, "node long, set binary"), "sets")
-    if rows.groupBy("k1", "k2").count().filter("count > 1").limit(1).count():  # whole rows that repeat
-        made = staged(made.dropDuplicates(["node"]), "sets")
-    return made
+    return staged(arrow_map(found, sets, "node long, set binary"), "sets")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -219,25 +254,47 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return staged(arrow_map(pairs.join(x, "a").join(y, "b").select("a", "b", "set_a", "set_b"), similar, "a long, b long"), "similar")
 
 
-def _linked(pairs: DataFrame, links: DataFrame | None, docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """links and those found among the pairs, and their components.  Each round one pair of each node is
-    verified, and pairs that are connected by now are left out, so a large family of copies needs few."""
-    rest = _hopeful(pairs, rows)
-    sets = _sets(rest, docs, rows)
-    for _ in range(ROUNDS):
-        order = F.xxhash64("a", "b")
-        some = rest.groupBy("b").agg(F.min_by("a", order).alias("a")).select("a", "b").union(rest.groupBy("a").agg(F.min_by("b", order).alias("b")))
-        some = staged(some.distinct(), "some")
-        made = _verified(some, sets)
-        links = made if links is None else links.union(made)
-        found = components(links)
-        x, y = (found.select(F.col("node").alias(c), F.col("component").alias(f"label_{c}")) for c in "ab")
-        apart = rest.join(some, ["a", "b"], "left_anti").join(x, "a", "left").join(y, "b", "left").filter("coalesce(label_a, a) <> coalesce(label_b, b)")
-        rest = staged(apart.select("a", "b"), "rest")
-        if not rest.limit(1).count():
-            return links, found
-    links = links.union(_verified(rest, sets))
-    return links, components(links)
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """(a, b, label_a, label_b) of the pairs whose ends are not connected yet."""
+    x, y = (found.select(F.col("node").alias(c), F.col("component").alias(f"label_{c}")) for c in "ab")
+    both = pairs.join(x, "a", "left").join(y, "b", "left").select("a", "b", F.coalesce("label_a", "a").alias("label_a"), F.coalesce("label_b", "b").alias("label_b"))
+    return both.filter("label_a <> label_b")
+
+
+class _Links:
+    """Verified links and their components, growing."""
+
+    def __init__(self, docs: DataFrame, nodes: DataFrame, repeats: bool):
+        self.docs, self.nodes, self.repeats = docs, nodes, repeats
+        self.links: DataFrame | None = None
+        self.found: DataFrame | None = None
+
+    def add(self, pairs: DataFrame) -> None:
+        """Verifies as many of the pairs as it takes to connect what they connect.  Of each node one pair
+        (with its smallest partner) on either side, then one for each two classes that are apart, then
+        what is left."""
+        rest = _hopeful(pairs, self.nodes)
+        sets = None
+        for k in range(3):
+            if k == 0:
+                some = rest.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").union(rest.groupBy("a").agg(F.min("b").alias("b"))).distinct()
+            elif k == 1:
+                two = rest.groupBy(F.least("label_a", "label_b").alias("x"), F.greatest("label_a", "label_b").alias("y"))
+                some = two.agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b")
+            else:
+                some = rest.select("a", "b")
+            if sets is None:
+                sets = _sets(rest, self.docs, self.nodes)
+                if self.repeats:
+                    sets = staged(sets.dropDuplicates(["node"]), "sets")
+            made = _verified(some, sets)
+            self.links = made if self.links is None else staged(self.links.union(made), "links")
+            self.found = components(self.links)
+            if k < 2:
+                rest = _apart(rest.select("a", "b"), self.found)
+                rest = staged(rest.join(some, ["a", "b"], "left_anti") if k == 0 else rest, "rest")
+                if not rest.limit(1).count():
+                    break
 
 
 def _possible(x: str, y: str) -> F.Column:
@@ -250,24 +307,26 @@ def classes(docs: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
     >= 0.8.  Rows whose texts have no words are one class.  k1 and k2 are those of row_keys."""
     configure(docs.sparkSession)
     rows = staged(_rows(docs), "rows")
-    nodes = rows.filter("n > 0").select("node", "n", "prefix").dropDuplicates(["node"])
-    entries = arrow_map(nodes, _entries, "s long, node long, n int, at int")
-    made = staged(entries.repartition("s").sortWithinPartitions("s").mapInArrow(_grouped(limit), "a long, b long, s long, n int, at int"), "possible")
-    links, found = _linked(staged(made.filter("b IS NOT NULL").select("a", "b").distinct(), "pairs"), None, docs, rows)
+    repeats = rows.groupBy("k1", "k2").count().filter("count > 1").limit(1).count() > 0  # whole rows
+    nodes = staged(rows.filter("n > 0").dropDuplicates(["node"]).drop("doc_id"), "nodes")
+    entries = arrow_map(nodes.select("node", "n", "prefix"), _entries, "s long, node long, n int, at int")
+    made = staged(entries.repartition("s").sortWithinPartitions("s", "node").mapInArrow(_grouped(limit), "a long, b long, s long, n int, at int"), "possible")
+    graph = _Links(docs, nodes, repeats)
+    graph.add(staged(_light(nodes).union(made.filter("b IS NOT NULL").select("a", "b")).distinct(), "pairs"))
     large = made.filter("s IS NOT NULL").select("s", F.col("a").alias("node"), "n", "at")
     for k in range(ROUNDS + 1 if large.limit(1).count() else 0):
-        labels = found.select(F.col("node").alias("of"), "component")
+        labels = graph.found.select(F.col("node").alias("of"), "component")
         labelled = large.join(labels, large.node == labels.of, "left").select("s", "node", "n", "at", F.coalesce("component", "node").alias("label"))
-        hub = F.min(F.struct(F.xxhash64("s", "node"), "node", "n", "at", "label")).alias("hub")
-        groups = labelled.groupBy("s").agg(hub, (F.min("label") < F.max("label")).alias("open")).filter("open").select("s", "hub.*")
-        groups = staged(groups.select("s", "node", "n", "at", "label"), "hubs")
+        hubs = [F.min(F.struct(F.xxhash64(F.lit(k * HUBS + i), "node"), "node", "n", "at", "label")).alias(f"hub{i}") for i in range(HUBS)]
+        groups = labelled.groupBy("s").agg(*hubs, (F.min("label") < F.max("label")).alias("open")).filter("open")
+        groups = staged(groups.select("s", F.explode(F.array_distinct(F.array(*[f"hub{i}" for i in range(HUBS)]))).alias("hub")).select("s", "hub.node", "hub.n", "hub.at", "hub.label"), "hubs")
         if not groups.limit(1).count():
             break
-        labelled = staged(labelled.join(groups.select("s"), "s", "left_semi"), "open")
-        x, y = labelled.alias("x"), (groups if k < ROUNDS else labelled).alias("y")
+        large = staged(labelled.join(groups.select("s").distinct(), "s", "left_semi"), "open")
+        x, y = large.alias("x"), (groups if k < ROUNDS else large).alias("y")
         apart = F.expr("x.s = y.s AND x.label <> y.label" if k < ROUNDS else "x.s = y.s AND x.label < y.label")
         pairs = x.join(y, apart & _possible("x", "y")).select(F.expr("LEAST(x.node, y.node)").alias("a"), F.expr("GREATEST(x.node, y.node)").alias("b")).distinct()
-        links, found = _linked(staged(pairs, "pairs"), links, docs, rows)
-        large = labelled.join(groups.select("s", "node"), ["s", "node"], "left_anti").select("s", "node", "n", "at")
-    labels = found.select(F.col("node").alias("of"), "component")
+        graph.add(staged(pairs, "pairs"))
+        large = large.drop("label")
+    labels = graph.found.select(F.col("node").alias("of"), "component")
     return rows.join(labels, rows.node == labels.of, "left").select("doc_id", "k1", "k2", F.coalesce("component", "node").alias("root"))
