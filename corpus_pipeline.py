@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilewright.llm import bpe, mixing, near_copies, quality, suffix_dedup
-from tilewright.llm._common import configure, staged, table
+from tilewright.llm._common import configure, free_name, staged, table
 from tilewright.llm.vocab import public_path
 
 
+#: Bytes that must repeat, of their anchors, and fewest words of a passage that is removed.
+PASSAGE_BYTES, PASSAGE_ANCHOR, PASSAGE_WORDS = 192, 64, 51
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the limits and the trained verdict keep."""
     configure(spark)
@@ -20,34 +24,38 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each class of near copies: of the smallest id (null last), then of the smallest row hashes."""
+    """SimHash near-dedup, completed to every pair of five-word Jaccard similarity of 0.8 or more.  One row of each class of near copies: of the smallest id (null last), then of the smallest row hashes."""
     configure(spark)
     rows = near_copies.classes(docs).groupBy("root", "doc_id", "k1", "k2").count()
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2", "count")).alias("first")
-    first = staged(rows.groupBy("root").agg(first).select("first.k1", "first.k2", "first.count"), "first")
-    kept = docs.select("*", *near_copies.row_keys(docs)).join(first.select("k1", "k2"), ["k1", "k2"], "left_semi")
-    if first.filter("count > 1").limit(1).count():  # whole rows that repeat
-        kept = kept.dropDuplicates(["k1", "k2"])
+    k1, k2 = (free_name(docs.columns, c) for c in ("k1", "k2"))
+    first = staged(rows.groupBy("root").agg(first).select(F.col("first.k1").alias(k1), F.col("first.k2").alias(k2), F.col("first.count").alias("times")), "first")
+    keyed = docs.withColumns(dict(zip((k1, k2), near_copies.row_keys(docs))))
+    kept = keyed.join(first.select(k1, k2), [k1, k2], "left_semi")
+    if first.filter("times > 1").limit(1).count():  # whole rows that repeat
+        kept = kept.dropDuplicates([k1, k2])
     return kept.select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes that repeated strings of 400 bytes cover."""
+    """Texts without passages of over 50 words that occur elsewhere too: runs of at least 51 words that
+    repeated strings of 192 bytes cover.  (51 words of under 2.8 letters each may be shorter; such a passage
+    stays.)"""
     configure(spark)
-    return suffix_dedup.deduplicated(docs)
+    return suffix_dedup.deduplicated(docs, PASSAGE_BYTES, PASSAGE_ANCHOR, PASSAGE_WORDS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it (not at all, once or twice)."""
     configure(spark)
-    columns = docs.columns
-    docs = docs.select("*", near_copies.row_keys(docs)[0])  # ids may be null or used again
-    taken = mixing.mixed(docs, [5, 2, 1], 1.5, id="k1").groupBy(F.col("doc_id").alias("id"))
-    taken = staged(taken.agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).filter("copies > 0"), "taken")
-    if taken.filter("rows > 1").limit(1).count():  # whole rows that repeat
-        docs = docs.dropDuplicates(["k1"])
-    rows = docs.join(taken, docs.k1 == taken.id).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-    return rows.select(*columns)
+    key, copies = (free_name(docs.columns, c) for c in ("k", "copies"))
+    keyed = docs.withColumn(key, near_copies.row_keys(docs)[0])  # ids may be null or used again
+    taken = mixing.mixed(keyed, [5, 2, 1], 1.5, id=key).groupBy(F.col("doc_id").alias(key))
+    taken = staged(taken.agg(F.sum("copies").alias(copies), F.count(F.lit(1)).alias(copies + "_rows")).filter(F.col(copies) > 0), "taken")
+    if taken.filter(F.col(copies + "_rows") > 1).limit(1).count():  # whole rows that repeat
+        keyed = keyed.dropDuplicates([key])
+    rows = keyed.join(taken.select(key, copies), key)
+    return rows.select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))).alias(key)).drop(key)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -131,3 +131,20 @@ def test_texts_without_their_repeats(spark):
     for r in out.collect():
         assert r.text is None or r.n_chars == len(r.text)
     assert out.filter("text IS NULL").count() == 2
+
+
+@pytest.mark.parametrize("group", [1 << 20, 3000, 400])
+def test_a_passage_in_many_surroundings(spark, group):
+    rng = random.Random(group)
+    letters = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passages = [letters(35), letters(58), letters(90)]
+    rows = [(k, letters(rng.randint(0, 30)) + passages[k % 3][rng.randint(0, 8) :] + letters(rng.randint(0, 30)) + (passages[1] if k % 7 == 0 else ""), "en", "src0", 0) for k in range(90)]
+    texts = [r[1].encode() for r in rows]
+    want = {r[0]: m for r, m in zip(rows, removed(texts, 40))}
+    got = {r.doc_id: r.spans for r in suffix_dedup.removal_digests(table(spark, rows), 40, 8, group).collect()}
+    assert len(got) == len(want) and sum(m.sum() for m in want.values()) > 1000
+    for k, m in want.items():
+        have = np.zeros(len(m), bool)
+        for s in got[k]:
+            have[s["f"] : s["t"]] = True
+        assert (have == m).all()

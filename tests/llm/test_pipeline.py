@@ -30,6 +30,51 @@ def corpus(spark, tmp_path):
     return rows, str(tmp_path)
 
 
+def without_passages(t, mark):
+    """The text without the marked runs that hold 51 words or parts of words."""
+    mark, at = mark.copy(), np.flatnonzero(np.diff(np.concatenate([[False], mark, [False]])))
+    for f, e in zip(at[::2], at[1::2]):
+        if len(t[f:e].split()) < 51:
+            mark[f:e] = False
+    return bytes(b for b, x in zip(t, mark) if not x).decode("utf-8", "ignore")
+
+
+def test_passages_of_over_fifty_words(spark):
+    rng = random.Random(21)
+    say = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 7))) for _ in range(n))
+    passages = [say(n) for n in range(51, 71)] + [say(45), say(40)]
+    rows = [(k, f"{say(60)} {passages[k % 22]} {say(rng.randint(0, 60))}", "en", "src0", 0) for k in range(66)]
+    rows += [(100, None, None, None, None), (100, "", "en", None, 0), (None, say(90), "en", "src0", 0), (None, say(90), "en", "src0", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("__spans", F.lit(1)).withColumn("D", F.lit(2)).repartition(3)
+    out = corpus_pipeline.repeated_passages(spark, docs, "")
+    assert out.columns == docs.columns
+    got = Counter((r.doc_id, r.text) for r in out.collect())
+    data = [(r[1] or "").encode() for r in rows]
+    want = Counter((r[0], None if r[1] is None else without_passages(t, m)) for r, t, m in zip(rows, data, removed(data, 192)))
+    assert got == want
+    kept = [t for _, t in got if t]
+    assert not any(p in t for t in kept for p in passages[:20]) and sum(p in t for t in kept for p in passages[20:]) == 6
+
+
+def test_stages_without_loss_on_awkward_tables(spark, tmp_path):
+    rng = random.Random(2)
+    t = [words(rng, 90) for _ in range(11)]
+    rows = [((50, 50, None, None, None)[k] if k < 5 else k, x, "en", "src0", 0) for k, x in enumerate(t)]
+    for docs in (spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([(1, t[0], "en", "src0", 0)] * 10, SCHEMA)):
+        docs = docs.withColumn("id", F.lit(1)).withColumn("copies", F.lit(2)).withColumn("k1", F.lit(3)).withColumn("root", F.lit(4))
+        kept = corpus_pipeline.near_duplicates(spark, docs, "")
+        assert kept.columns == docs.columns and sorted(r.text for r in kept.collect()) == sorted(r.text for r in docs.distinct().collect())
+        mixed = corpus_pipeline.mix(spark, docs, "")
+        n = Counter(r.text for r in mixed.collect())
+        assert mixed.columns == docs.columns and max(n.values()) <= 2 * docs.count()
+        assert abs(sum(n.values()) - 1.5 * docs.count()) <= 1
+    none = spark.createDataFrame([], SCHEMA)
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        none = stage(spark, none, str(tmp_path))
+        assert none.count() == 0
+
+
 def test_stages_one_by_one(spark, tmp_path):
     rows, d = corpus(spark, tmp_path)
     docs, seen = spark.read.parquet(f"{d}/documents.parquet"), []
@@ -47,7 +92,7 @@ def test_stages_one_by_one(spark, tmp_path):
     assert sorted(seen[1].doc_id) == sorted(firsts) and not any(100 <= i < 110 for i in firsts)
     ids = sorted(firsts)
     data = [text[i].encode() for i in ids]
-    want = {i: bytes(b for b, x in zip(t, m) if not x).decode("utf-8", "ignore") for i, t, m in zip(ids, data, removed(data, 400))}
+    want = {i: without_passages(t, m) for i, t, m in zip(ids, data, removed(data, 192))}
     assert dict(zip(seen[2].doc_id, seen[2].text)) == want and any(len(want[i]) < len(text[i]) for i in ids)
     copies = Counter(seen[3].doc_id)
     assert set(copies) <= set(want) and max(copies.values()) <= 2

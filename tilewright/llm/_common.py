@@ -130,6 +130,14 @@ def arrow_map(df: DataFrame, kernel: Callable[[pa.RecordBatch], pa.RecordBatch |
     return df.mapInArrow(run, schema)
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """A column name that no column has, whatever its case."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """Python strings, null as empty."""
     return ["" if x is None else x for x in column.to_pylist()]
@@ -143,8 +151,7 @@ def bytes_of(column: pa.Array) -> list[bytes]:
 
 def word_count(text) -> F.Column:
     """Number of words (runs outside of the ASCII white space) of a string column, null: 0.
-    White space is made one character, so that no regular expression is needed: a word starts at
-    each word character that follows white space, and the count is the number of such places."""
+    White space becomes spaces, runs of them one, and the spaces between words are counted."""
     space = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")
     trimmed = F.trim(F.regexp_replace(space, " {2,}", " "))
     return F.when(trimmed == "", F.lit(0)).otherwise(F.length(trimmed) - F.length(F.replace(trimmed, F.lit(" "), F.lit(""))) + 1).cast("long")

@@ -62,7 +62,7 @@ def bitmap(s: np.ndarray) -> bytes:
 def row_keys(docs: DataFrame) -> list:
     """Two hashes of the whole row, as columns k1 and k2; nulls count."""
     whole = [x for c in docs.columns for x in (docs[c], docs[c].isNull())]
-    return [F.xxhash64(*whole).alias("k1"), F.xxhash64(F.lit("second"), *whole).alias("k2")]
+    return [F.xxhash64(F.lit(salt), *whole).alias(name) for salt, name in (("first", "k1"), ("second", "k2"))]
 
 
 def _frequent(docs: DataFrame) -> np.ndarray:

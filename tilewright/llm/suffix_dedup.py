@@ -12,8 +12,12 @@ matching statistic of a position is one less than that of the position before it
 the text streams the statistics of all positions from these samples.  Windows whose statistic reaches
 L are repeated.
 
-A group beyond the bound (a passage in very many different surroundings) is not indexed: its windows
-are counted by their own hashes, after the copies of contexts are one."""
+A group beyond the bound (a passage in very many different surroundings) is split until its parts can be
+indexed.  All its windows hold the same core, at different offsets.  A window reaches at least half of
+what it has beside the core either to the right or to the left of it, so windows are dealt into two halves by
+offset, and each half is grouped by those further bytes, which equal windows share: the core grows by
+them.  Copies meet as one again in each part.  Cores cannot grow beyond the window, so this ends, and no
+window is left out."""
 
 from __future__ import annotations
 
@@ -26,13 +30,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilewright.llm._common import arrow_map, bytes_of, configure, staged, table, task_memory
+from tilewright.llm._common import arrow_map, bytes_of, configure, free_name, staged, table, task_memory
 
 #: Bytes of a passage that must repeat, of an anchor (a power of two), and most windows of a context.
 LENGTH, ANCHOR, MOST_WINDOWS = 400, 128, 1024
 
 #: Bytes of text whose windows are handled at once, of contexts indexed at once, and of one group.
-AT_ONCE, INDEX_BYTES, GROUP_BYTES = 2 << 20, 1 << 20, 2 << 20
+AT_ONCE, INDEX_BYTES, GROUP_BYTES = 2 << 20, 1 << 20, 1 << 20
 
 _MIX = 0x9E3779B97F4A7C15
 
@@ -107,7 +111,6 @@ class RunIndex:
         # A separator before a suffix never continues a run: there the text starts.
         change = (before[1:] != before[:-1]) | (before[1:] == 0)
         self.run_starts = np.append(0, np.flatnonzero(change) + 1)
-        self.run_chars = before[self.run_starts]
 
     def _sorted(self, depth: int) -> np.ndarray:
         """Suffixes in order of their first `depth` symbols, by doubling; a suffix that is alone in its
@@ -235,58 +238,109 @@ def _indexed(length: int):
 def removed_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, group_bytes: int = GROUP_BYTES, text: str = "text", id: str = "doc_id") -> DataFrame:
     """(d, t, spans) for texts with repeated passages; d and t (id, hash of the text) tell rows apart, equal
     rows share one.  spans: bytes (f, t) that strings of `length` bytes cover which also start
-    elsewhere, not merged."""
+    elsewhere, not merged.  An anchor of over half the length is halved until it fits."""
+    while 2 * anchor > length and anchor > 1:
+        anchor //= 2
     keyed_docs = _keyed(docs, text, id)
 
     def cut(b: pa.RecordBatch) -> pa.RecordBatch | None:
         d, t, texts = b.column(0).to_pylist(), b.column(1).to_pylist(), bytes_of(b.column(2))
-        rows = []
-        for k, h, first, n, again, part in contexts(texts, length, anchor):
-            c = xxhash.xxh3_128_digest(part)
-            rows.append((h, c[:8], c[8:], d[k], t[k], first, n, again))
+        rows = [(h, xxhash.xxh3_64_intdigest(part), d[k], t[k], first, n, again) for k, h, first, n, again, part in contexts(texts, length, anchor)]
         if not rows:
             return None
-        h, c1, c2, d, t, first, n, again = zip(*rows)
-        as_long = lambda x: pa.array(np.frombuffer(b"".join(x), np.int64))
-        return pa.RecordBatch.from_arrays([pa.array(np.array(h, np.uint64).view(np.int64)), as_long(c1), as_long(c2), pa.array(d, pa.int64()), pa.array(t, pa.int64()), pa.array(first, pa.int32()), pa.array(n, pa.int32()), pa.array(again, pa.bool_())], ["h", "c1", "c2", "d", "t", "lo", "n", "again"])
+        h, c, d, t, first, n, again = zip(*rows)
+        return pa.RecordBatch.from_arrays([_signed(h), _signed(c), pa.array(d, pa.int64()), pa.array(t, pa.int64()), pa.array(first, pa.int32()), pa.array(n, pa.int32()), pa.array(again, pa.bool_())], ["h", "c", "d", "t", "lo", "n", "again"])
 
-    found = staged(arrow_map(keyed_docs, cut, "h long, c1 long, c2 long, d long, t long, lo int, n int, again boolean"), "contexts")
-    distinct = staged(found.groupBy("h", "c1", "c2").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("d", "t", "lo", "n")).alias("one"), F.max("again").alias("again")), "distinct")
+    # h and c together are 128 bits of a context.
+    found = staged(arrow_map(keyed_docs, cut, "h long, c long, d long, t long, lo int, n int, again boolean"), "contexts")
+    distinct = staged(found.groupBy("h", "c").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("d", "t", "lo", "n")).alias("one"), F.max("again").alias("again")), "distinct")
     groups = distinct.groupBy("h").agg((F.max("again") | (F.count(F.lit(1)) > 1)).alias("open"), F.sum(F.col("one.n") + (length - 1)).alias("size"))
     # Contexts that occur twice: all their places.
-    twice = distinct.filter("times > 1").select("h", "c1", "c2")
-    whole = found.join(twice, ["h", "c1", "c2"]).select("d", "t", "lo", F.array(F.struct(F.lit(0).alias("f"), (F.col("n") + (length - 1)).alias("t"))).cast(_SPANS).alias("spans"))
+    twice = distinct.filter("times > 1").select("h", "c")
+    whole = found.join(twice, ["h", "c"]).select("d", "t", "lo", F.array(F.struct(F.lit(0).alias("f"), (F.col("n") + (length - 1)).alias("t"))).cast(_SPANS).alias("spans"))
     # Contexts that can match in part: one place of each, with its bytes.
-    mixed = distinct.join(groups.filter("open"), "h").select("one.d", "one.t", F.struct("h", "one.lo", "one.n", "times", (F.col("size") > group_bytes).alias("large")).alias("c"))
+    mixed = distinct.join(groups.filter("open"), "h").select("one.d", "one.t", F.struct("h", "one.lo", "one.n", (F.col("size") > group_bytes).alias("large")).alias("c"))
     wanted = mixed.groupBy("d", "t").agg(F.collect_list("c").alias("cs"))
 
     def fetched(b: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [(c["h"], d, t, c["lo"], x[c["lo"] : c["lo"] + c["n"] - 1 + length], c["times"], c["large"]) for d, t, x, cs in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), bytes_of(b.column(2)), b.column(3).to_pylist()) for c in cs]
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.bool_())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["h", "d", "t", "lo", "part", "times", "large"])
+        rows = [(c["h"], d, t, c["lo"], x[c["lo"] : c["lo"] + c["n"] - 1 + length], c["large"]) for d, t, x, cs in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), bytes_of(b.column(2)), b.column(3).to_pylist()) for c in cs]
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["h", "d", "t", "lo", "part", "large"])
 
-    parts = arrow_map(keyed_docs.join(wanted, ["d", "t"]).select("d", "t", "text", "cs"), fetched, "h long, d long, t long, lo int, part binary, times long, large boolean")
+    parts = arrow_map(keyed_docs.join(wanted, ["d", "t"]).select("d", "t", "text", "cs"), fetched, "h long, d long, t long, lo int, part binary, large boolean")
     parts = staged(parts, "parts").dropDuplicates(["h", "d", "t", "lo"])
     configure(docs.sparkSession)
-    small = parts.filter("NOT large").repartition("h").sortWithinPartitions("h", "d", "t", "lo").select("h", "d", "t", "lo", "part")
-    indexed = small.mapInArrow(_indexed(length), f"d long, t long, lo int, spans {_SPANS}").filter("size(spans) > 0")
-    return whole.unionByName(indexed).unionByName(_by_windows(parts.filter("large"), length)).select("d", "t", F.transform("spans", lambda s: F.struct((s["f"] + F.col("lo")).alias("f"), (s["t"] + F.col("lo")).alias("t"))).alias("spans"))
+    small = parts.filter("NOT large").select("h", "d", "t", "lo", "part")
+    sure, split = _split(parts.filter("large").select("h", "d", "t", "lo", "part"), length, anchor, group_bytes)
+    dealt = small.unionByName(split).repartition("h").sortWithinPartitions("h", "d", "t", "lo")
+    indexed = dealt.mapInArrow(_indexed(length), f"d long, t long, lo int, spans {_SPANS}").filter("size(spans) > 0")
+    return whole.unionByName(indexed).unionByName(sure).select("d", "t", F.transform("spans", lambda s: F.struct((s["f"] + F.col("lo")).alias("f"), (s["t"] + F.col("lo")).alias("t"))).alias("spans"))
+
+
+def _signed(values) -> pa.Array:
+    return pa.array(np.array(values, np.uint64).view(np.int64))
+
 
+_CORED = "h long, c long, d long, t long, lo int, part binary, core int, until int"
 
-def _by_windows(parts: DataFrame, length: int) -> DataFrame:
-    """Spans of contexts by counting each window's hash."""
 
-    def windows(b: pa.RecordBatch) -> pa.RecordBatch:
-        d, t, lo, part = (c.to_pylist() for c in b.columns)
-        rows = [(*divmod(xxhash.xxh3_128_intdigest(p[k : k + length]), 1 << 64), d[i], t[i], lo[i], k) for i, p in enumerate(part) for k in range(len(p) - length + 1)]
-        w1, w2, *rest = zip(*rows)
-        signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
-        return pa.RecordBatch.from_arrays([signed(w1), signed(w2), *[pa.array(c, k) for c, k in zip(rest, kinds)]], ["w1", "w2", "d", "t", "lo", "k"])
+def _cored(rows: list[tuple]) -> pa.RecordBatch | None:
+    """Rows (h, d, t, lo, part, core, until) with the hash c of the part and of where its core lies."""
+    if not rows:
+        return None
+    h, d, t, lo, part, core, until = zip(*rows)
+    c = [xxhash.xxh3_64_intdigest(p, core[k]) for k, p in enumerate(part)]
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int32())
+    return pa.RecordBatch.from_arrays([_signed(h), _signed(c), *[pa.array(x, k) for x, k in zip((d, t, lo, part, core, until), kinds)]], ["h", "c", "d", "t", "lo", "part", "core", "until"])
 
-    each = arrow_map(parts.select("d", "t", "lo", "part"), windows, "w1 long, w2 long, d long, t long, lo int, k int")
-    again = each.groupBy("w1", "w2").count().filter("count > 1").drop("count")
-    return each.join(again, ["w1", "w2"]).select("d", "t", "lo", F.array(F.struct(F.col("k").alias("f"), (F.col("k") + length).alias("t"))).cast(_SPANS).alias("spans"))
+
+def _split(parts: DataFrame, length: int, anchor: int, group_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """Contexts of groups beyond the bound as (spans that are repeated as wholes, contexts of smaller groups)."""
+
+    def cores(b: pa.RecordBatch) -> pa.RecordBatch | None:
+        """The windows of each context by the first place of their smallest hash, which becomes the core."""
+        rows = []
+        for h, d, t, lo, part in zip(*(c.to_pylist() for c in b.columns)):
+            each, _ = least_hashes(np.frombuffer(part, np.uint8), length, anchor)
+            last, first = len(part) - length, 0
+            for p in np.flatnonzero(each == np.uint64(h % (1 << 64))).tolist():
+                to = min(p, last)
+                if first <= to:
+                    rows.append((h % (1 << 64), d, t, lo + first, part[first : to + length], p - first, p - first + anchor))
+                first = p + 1
+        return _cored(rows)
+
+    def halves(b: pa.RecordBatch) -> pa.RecordBatch | None:
+        rows = []
+        for h, d, t, lo, part, core, until in zip(*(b.column(k).to_pylist() for k in (0, 2, 3, 4, 5, 6, 7))):
+            last, slack = len(part) - length, length - (until - core)
+            right = (slack + 1) // 2
+            left = slack - right + 1
+            # Windows from `at` on reach `right` bytes beyond the core; those before it reach `left` bytes before it.
+            at = max(0, until + right - length)
+            if at <= last:
+                key = xxhash.xxh3_64_intdigest(b"r" + part[until : until + right], h % (1 << 64))
+                rows.append((key, d, t, lo + at, part[at:], core - at, until + right - at))
+            if at > 0 and left <= core:
+                end = min(at - 1, last)
+                key = xxhash.xxh3_64_intdigest(b"l" + part[core - left : core], h % (1 << 64))
+                rows.append((key, d, t, lo, part[: end + length], core - left, until))
+        return _cored(rows)
+
+    spark = parts.sparkSession
+    sure = spark.createDataFrame([], f"d long, t long, lo int, spans {_SPANS}")
+    small = spark.createDataFrame([], "h long, d long, t long, lo int, part binary")
+    live = staged(arrow_map(parts, cores, _CORED), "cores")
+    while live.limit(1).count():
+        one = F.min(F.struct("d", "t", "lo", "part", "core", "until")).alias("one")
+        reps = staged(live.groupBy("h", "c").agg(F.count(F.lit(1)).alias("times"), one), "reps")
+        whole = F.array(F.struct(F.lit(0).alias("f"), F.octet_length("part").alias("t"))).cast(_SPANS).alias("spans")
+        sure = sure.unionByName(live.join(reps.filter("times > 1").select("h", "c"), ["h", "c"]).select("d", "t", "lo", whole))
+        sizes = reps.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("one.part")).alias("size")).filter("n > 1")
+        open_ = reps.join(sizes, "h").select("h", "c", "one.*", (F.col("size") > group_bytes).alias("large"))
+        small = small.unionByName(open_.filter("NOT large").select("h", "d", "t", "lo", "part"))
+        live = staged(arrow_map(open_.filter("large").drop("large"), halves, _CORED), "halves")
+    return sure, small
 
 
 def _keyed(docs: DataFrame, text: str, id: str) -> DataFrame:
@@ -310,11 +364,13 @@ def without(data: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def with_spans(docs: DataFrame, spans: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """docs, each row with the column __spans: the spans of its text, or null."""
+    """docs, each row with one more column, the last: the spans of its text, or null."""
     each = spans.select("d", "t", F.explode("spans").alias("s")).groupBy("d", "t", "s").count()
-    lists = each.groupBy("d", "t").agg(F.collect_list("s").alias("__spans"))
+    lists = each.groupBy("d", "t").agg(F.collect_list("s").alias("s"))
+    own_d, own_t, own_s = (free_name(docs.columns, c) for c in ("d", "t", "spans"))
     d, t = F.coalesce(docs[id].cast("long"), F.lit(-(1 << 63))), F.xxhash64(docs[text])
-    return docs.withColumns({"__d": d, "__t": t}).join(lists.withColumnsRenamed({"d": "__d", "t": "__t"}), ["__d", "__t"], "left").drop("__d", "__t")
+    lists = lists.select(F.col("d").alias(own_d), F.col("t").alias(own_t), F.col("s").alias(own_s))
+    return docs.withColumns({own_d: d, own_t: t}).join(lists, [own_d, own_t], "left").select(*docs.columns, own_s)
 
 
 def removal_digests(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, group_bytes: int = GROUP_BYTES, text: str = "text", id: str = "doc_id") -> DataFrame:
@@ -337,28 +393,30 @@ def removal_digests(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
             out.append(m)
         return pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array(digest, pa.string()), _spans_array(out)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
-    return arrow_map(rows.select("doc_id", "text", "__spans"), kernel, f"doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans {_SPANS}")
+    return arrow_map(rows, kernel, f"doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans {_SPANS}")
 
 
-def deduplicated(docs: DataFrame, length: int = LENGTH, text: str = "text", id: str = "doc_id", count: str | None = "n_chars") -> DataFrame:
-    """docs with repeated passages taken out of their texts; characters of which only a part is left go as
-    well.  All columns stay; `count`, if there is such a column, gets the new number of characters.  A
-    null text stays null."""
+def deduplicated(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, least_words: int = 0, text: str = "text", id: str = "doc_id", count: str | None = "n_chars") -> DataFrame:
+    """docs with repeated passages taken out of their texts: runs of bytes that strings of `length` bytes
+    cover which also start elsewhere, if they hold at least `least_words` words (parts of words count).
+    Characters of which only a part is left go as well.  All columns stay; `count`, if there is such a
+    column, gets the new number of characters.  A null text stays null."""
     columns = docs.columns
     at, counted = columns.index(text), columns.index(count) if count in columns else None
-    rows = with_spans(docs, removed_spans(docs, length, text=text, id=id), text, id)
+    rows = with_spans(docs, removed_spans(docs, length, anchor, text=text, id=id), text, id)
 
     def kernel(b: pa.RecordBatch) -> pa.RecordBatch:
         kept = []
         for x, data, spans in zip(b.column(at), bytes_of(b.column(at)), b.column(b.num_columns - 1).to_pylist()):
-            kept.append(None if not x.is_valid else without(data, merged(spans or [])).decode("utf-8", "ignore"))
+            gone = [(f, t) for f, t in merged(spans or []) if not least_words or len(data[f:t].split()) >= least_words]
+            kept.append(None if not x.is_valid else without(data, gone).decode("utf-8", "ignore"))
         cols = list(b.columns[:-1])
         cols[at] = pa.array(kept, cols[at].type)
         if counted is not None:
             cols[counted] = pa.array([None if k is None else len(k) for k in kept], cols[counted].type)
         return pa.RecordBatch.from_arrays(cols, columns)
 
-    return arrow_map(rows.select(*columns, "__spans"), kernel, docs.schema)
+    return arrow_map(rows, kernel, docs.schema)
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
