@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilewright.llm import bpe, mixing, near_copies, quality, suffix_dedup
-from tilewright.llm._common import configure, free_name, staged, table
+from tilewright.llm._common import configure, free_name, scratch, staged, table
 from tilewright.llm.vocab import public_path
 
 
@@ -26,10 +26,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-dedup, completed to every pair of five-word Jaccard similarity of 0.8 or more.  One row of each class of near copies: of the smallest id (null last), then of the smallest row hashes."""
     configure(spark)
-    rows = near_copies.classes(docs).groupBy("root", "doc_id", "k1", "k2").count()
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2", "count")).alias("first")
     k1, k2 = (free_name(docs.columns, c) for c in ("k1", "k2"))
-    first = staged(rows.groupBy("root").agg(first).select(F.col("first.k1").alias(k1), F.col("first.k2").alias(k2), F.col("first.count").alias("times")), "first")
+    with scratch(spark):
+        rows = near_copies.classes(docs).groupBy("root", "doc_id", "k1", "k2").count()
+        first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2", "count")).alias("first")
+        firsts = rows.groupBy("root").agg(first).select(F.col("first.k1").alias(k1), F.col("first.k2").alias(k2), F.col("first.count").alias("times"))
+        first = staged(firsts, "first", result=True)
     keyed = docs.withColumns(dict(zip((k1, k2), near_copies.row_keys(docs))))
     kept = keyed.join(first.select(k1, k2), [k1, k2], "left_semi")
     if first.filter("times > 1").limit(1).count():  # whole rows that repeat
@@ -50,8 +52,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     configure(spark)
     key, copies = (free_name(docs.columns, c) for c in ("k", "copies"))
     keyed = docs.withColumn(key, near_copies.row_keys(docs)[0])  # ids may be null or used again
-    taken = mixing.mixed(keyed, [5, 2, 1], 1.5, id=key).groupBy(F.col("doc_id").alias(key))
-    taken = staged(taken.agg(F.sum("copies").alias(copies), F.count(F.lit(1)).alias(copies + "_rows")).filter(F.col(copies) > 0), "taken")
+    with scratch(spark):
+        taken = mixing.mixed(keyed, [5, 2, 1], 1.5, id=key).groupBy(F.col("doc_id").alias(key))
+        taken = staged(taken.agg(F.sum("copies").alias(copies), F.count(F.lit(1)).alias(copies + "_rows")).filter(F.col(copies) > 0), "taken", result=True)
     if taken.filter(F.col(copies + "_rows") > 1).limit(1).count():  # whole rows that repeat
         keyed = keyed.dropDuplicates([key])
     rows = keyed.join(taken.select(key, copies), key)

@@ -69,13 +69,32 @@ def _remove_late(spark: SparkSession, path: str) -> None:
         pass
 
 
-def staged(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+#: Folders to be removed at the end of each open scratch().
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside goes at the end, but for tables staged as results."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            _remove_late(spark, path)
+
+
+def staged(df: DataFrame, name: str, result: bool = False) -> DataFrame:
     """Writes df as Parquet into the shared folder and rereads it: cuts lineage, and outlives lost
-    executors.  The files go when the driver's process ends, unless keep."""
+    executors.  The files go at the end of the innermost scratch(), those of its result at the end of the one
+    around it, and where there is none when the driver's process ends."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    if not keep:
+    scopes = _scopes[:-1] if result else _scopes
+    if scopes:
+        scopes[-1].append(path)
+    else:
         atexit.register(_remove_late, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -157,21 +176,22 @@ def word_count(text) -> F.Column:
     return F.when(trimmed == "", F.lit(0)).otherwise(F.length(trimmed) - F.length(F.replace(trimmed, F.lit(" "), F.lit(""))) + 1).cast("long")
 
 
-def numbered(df: DataFrame, keys: list[str], order: list[str], rows: int = 20_000, out: str = "rn") -> DataFrame:
+def numbered(df: DataFrame, keys: list[str], order: list[str], rows: int = 20_000, out: str = "rn", few: bool = False) -> DataFrame:
     """A gapless number from 0 for each row among the rows of equal keys, without bringing the rows
     of one key together: rows are dealt into buckets by a hash of `order`, counted, and numbered
     inside their bucket; a running sum over the (few) bucket counts gives each bucket's first number.
     `order` must identify a row among those of its key, repeated rows aside (which then share the
-    bucket and are interchangeable).  A key has about count/rows buckets."""
+    bucket and are interchangeable).  A key has about count/rows buckets.  few: there are so few keys that
+    tables of a row for each bucket may be sent to all executors."""
     from pyspark.sql import Window
 
     null_safe = [F.col(k) for k in keys]
     sizes = df.groupBy(*null_safe).agg(F.count(F.lit(1)).alias("__n"))
     sizes = sizes.select(*keys, F.ceil(F.col("__n") / rows).cast("int").alias("__b"))
-    dealt = df.join(sizes, keys).withColumn("__k", F.pmod(F.xxhash64(*order), F.col("__b")).cast("int")).drop("__b")
+    dealt = df.join(F.broadcast(sizes) if few else sizes, keys).withColumn("__k", F.pmod(F.xxhash64(*order), F.col("__b")).cast("int")).drop("__b")
     counts = dealt.groupBy(*keys, "__k").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*keys).orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*keys, "__k", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__from"))
     inside = Window.partitionBy(*keys, "__k").orderBy(*order)
     ranked = dealt.withColumn("__r", F.row_number().over(inside) - 1)
-    return ranked.join(starts, [*keys, "__k"]).withColumn(out, (F.col("__from") + F.col("__r")).cast("long")).drop("__k", "__r", "__from")
+    return ranked.join(F.broadcast(starts) if few else starts, [*keys, "__k"]).withColumn(out, (F.col("__from") + F.col("__r")).cast("long")).drop("__k", "__r", "__from")

@@ -19,7 +19,7 @@ import functools
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tilewright.llm._common import numbered, staged, table
@@ -41,13 +41,15 @@ class Split:
     rows: int
 
 
-def text_place(c: Column) -> Column:
-    """A number in the order of the first six bytes of a string; null before all."""
-    return F.coalesce(F.conv(F.rpad(F.hex(F.substring(F.encode(c, "utf-8"), 1, 6)), 12, "0"), 16, 10).cast("double"), F.lit(-1.0))
+def default_dimensions() -> list[tuple[str, Column]]:
+    return [("source", F.col("source_rank")), ("lang", F.col("lang_rank")), ("size", F.log("size")), ("doc_id", F.coalesce(F.col("doc_id").cast("double"), F.lit(-1.0)))]
 
 
-def default_dimensions() -> list[tuple[str, Column]]:
-    return [("source", text_place(F.col("source"))), ("lang", text_place(F.col("lang"))), ("size", F.log("size")), ("doc_id", F.coalesce(F.col("doc_id").cast("double"), F.lit(-1.0)))]
+def with_rank(groups: DataFrame, column: str) -> DataFrame:
+    """groups with `column`_rank: the number of the value among the different ones in order, null first."""
+    values = staged(groups.select(F.col(column).alias("v")).distinct(), "values")
+    ranked = values.select("v", F.row_number().over(Window.orderBy(F.col("v").asc_nulls_first())).cast("double").alias(f"{column}_rank"))
+    return groups.join(ranked, groups[column].eqNullSafe(ranked.v), "left").drop("v")
 
 
 def keyed(groups: DataFrame, columns: list[str]) -> DataFrame:
@@ -160,7 +162,7 @@ def sharded(docs: DataFrame, shards: int = 16, text: str = "text", id: str = "do
     rows = staged(rows, "rows")
     own = ["g", "size", "text_crc32"]  # what tells texts apart
     groups = rows.groupBy(*own).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "source", "lang")).alias("m"))
-    groups = groups.select(*own, "n", "m.doc_id", "m.source", "m.lang")
+    groups = with_rank(with_rank(groups.select(*own, "n", "m.doc_id", "m.source", "m.lang"), "source"), "lang")
     columns = [f"d_{n}" for n, _ in default_dimensions()]
     groups = groups.select(*own, "n", *[c.alias(f"d_{n}") for n, c in default_dimensions()], F.shiftrightunsigned(F.xxhash64("g", "size"), 64 - HASH_BITS).alias("h"))
     groups = staged(keyed(staged(groups, "groups"), columns), "keys")
@@ -171,13 +173,13 @@ def sharded(docs: DataFrame, shards: int = 16, text: str = "text", id: str = "do
     torn = F.lit(False)
     for s in cut:
         torn |= (F.col(f"k{s.dimension}") == F.lit(s.key)) & (F.col("n") > 1)
-    placed = rows.join(groups.withColumn("torn", torn), own)
-    whole = placed.filter("NOT torn").withColumn("from", F.lit(0).cast("long"))
-    split = placed.filter("torn")
-    if cut:
-        whole = whole.unionByName(numbered(split, own, ["doc_id"], out="from"))
+    groups = groups.withColumn("torn", torn)
+    whole = rows.join(groups.filter("NOT torn"), own).withColumn("from", F.lit(0).cast("long"))
+    if cut:  # at most one group for each cut, so they can be sent to all executors
+        split = staged(rows.join(F.broadcast(groups.filter("torn")), own), "torn")
+        whole = whole.unionByName(numbered(split, own, ["doc_id"], out="from", few=True))
     sharded_ = staged(whole.select("doc_id", "size", "text_crc32", (node_of(splits, depth) - F.lit(shards)).cast("int").alias("shard")), "sharded")
-    return numbered(sharded_, ["shard"], ["doc_id", "text_crc32"], out="slot").select("doc_id", "size", "text_crc32", "shard", "slot")
+    return numbered(sharded_, ["shard"], ["doc_id", "text_crc32"], out="slot", few=True).select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
 def op9_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,11 +33,14 @@ from tilewright.llm.components import components
 #: Largest group that is paired at once, rows handled at once, members that a larger group is compared with in a round, and rounds.
 GROUP_LIMIT, ROWS_AT_ONCE, HUBS, ROUNDS = 128, 200_000, 4, 4
 
+#: Members of larger groups are paired with each other without further rounds if they have at most so many partners on average.
+PARTNERS = 1000
+
 #: Documents of the sample, and how many of them make a shingle frequent; at most so many are sent out.
 SAMPLE, FREQUENT, FREQUENT_MOST = 4000, 8, 100_000
 
-#: Bits of a bitmap, and up to how many row keys are sent to all executors instead of dealing out texts.
-BITS, SENT = 1024, 50_000
+#: Bits of a bitmap for each shingle and at least, and up to how many row keys are sent to all executors instead of dealing out texts.
+BITS_EACH, LEAST_BITS, SENT = 4, 512, 50_000
 
 
 def shingle_set(text: bytes, shingle: int = 5) -> np.ndarray:
@@ -54,11 +57,22 @@ def prefix_size(n: int) -> int:
 
 
 def bitmap(s: np.ndarray) -> bytes:
-    bits = np.zeros(BITS, np.uint8)
-    bits[s & np.uint64(BITS - 1)] = 1
+    """At least BITS_EACH bits a shingle, a power of two; one of half the size is this one folded."""
+    size = max(LEAST_BITS, 1 << (BITS_EACH * max(1, len(s)) - 1).bit_length())
+    bits = np.zeros(size, np.uint8)
+    bits[s & np.uint64(size - 1)] = 1
     return np.packbits(bits).tobytes()
 
 
+def most_common(n: int, x: bytes, m: int, y: bytes) -> int:
+    """A bound of how many shingles sets of n and m with these bitmaps have in common."""
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    while len(x) != len(y):
+        half = max(len(x), len(y)) // 2
+        x, y = ((z[:half] | z[half:]) if len(z) > half else z for z in (x, y))
+    return min(n - int(np.bitwise_count(x & ~y).sum(dtype=np.int64)), m - int(np.bitwise_count(y & ~x).sum(dtype=np.int64)))
+
+
 def row_keys(docs: DataFrame) -> list:
     """Two hashes of the whole row, as columns k1 and k2; nulls count."""
     whole = [x for c in docs.columns for x in (docs[c], docs[c].isNull())]
@@ -216,10 +230,8 @@ def _hopeful(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) that the bitmaps of their sets do not rule out."""
 
     def hopeful(b: pa.RecordBatch) -> pa.RecordBatch:
-        n, m = (b.column(k).to_numpy().astype(np.int64) for k in (2, 3))
-        x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint64).reshape(-1, BITS // 64) for k in (4, 5))
-        both = np.minimum(n - np.bitwise_count(x & ~y).sum(1, dtype=np.int64), m - np.bitwise_count(y & ~x).sum(1, dtype=np.int64))
-        return b.select([0, 1]).filter(pa.array(9 * both >= 4 * (n + m)))
+        good = [9 * most_common(n, x, m, y) >= 4 * (n + m) for n, m, x, y in zip(*(b.column(k).to_pylist() for k in (2, 3, 4, 5)))]
+        return b.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
     x, y = (nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab")
     return staged(arrow_map(pairs.join(x, "a").join(y, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b"), hopeful, "a long, b long"), "hopeful")
@@ -274,8 +286,12 @@ class _Links:
         (with its smallest partner) on either side, then one for each two classes that are apart, then
         what is left."""
         rest = _hopeful(pairs, self.nodes)
+        if self.found is None:
+            self.links, self.found = rest.limit(0), rest.limit(0).select(F.col("a").alias("node"), F.col("b").alias("component"))
         sets = None
         for k in range(3):
+            if not rest.limit(1).count():
+                break
             if k == 0:
                 some = rest.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").union(rest.groupBy("a").agg(F.min("b").alias("b"))).distinct()
             elif k == 1:
@@ -288,13 +304,11 @@ class _Links:
                 if self.repeats:
                     sets = staged(sets.dropDuplicates(["node"]), "sets")
             made = _verified(some, sets)
-            self.links = made if self.links is None else staged(self.links.union(made), "links")
-            self.found = components(self.links)
+            if made.limit(1).count():
+                self.links = staged(self.links.union(made), "links")
+                self.found = components(self.links)
             if k < 2:
-                rest = _apart(rest.select("a", "b"), self.found)
-                rest = staged(rest.join(some, ["a", "b"], "left_anti") if k == 0 else rest, "rest")
-                if not rest.limit(1).count():
-                    break
+                rest = staged(_apart(rest.select("a", "b").join(some, ["a", "b"], "left_anti"), self.found), "rest")
 
 
 def _possible(x: str, y: str) -> F.Column:
@@ -318,15 +332,19 @@ def classes(docs: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
         labels = graph.found.select(F.col("node").alias("of"), "component")
         labelled = large.join(labels, large.node == labels.of, "left").select("s", "node", "n", "at", F.coalesce("component", "node").alias("label"))
         hubs = [F.min(F.struct(F.xxhash64(F.lit(k * HUBS + i), "node"), "node", "n", "at", "label")).alias(f"hub{i}") for i in range(HUBS)]
-        groups = labelled.groupBy("s").agg(*hubs, (F.min("label") < F.max("label")).alias("open")).filter("open")
-        groups = staged(groups.select("s", F.explode(F.array_distinct(F.array(*[f"hub{i}" for i in range(HUBS)]))).alias("hub")).select("s", "hub.node", "hub.n", "hub.at", "hub.label"), "hubs")
-        if not groups.limit(1).count():
+        groups = staged(labelled.groupBy("s").agg(*hubs, F.count(F.lit(1)).alias("rows"), (F.min("label") < F.max("label")).alias("open")).filter("open"), "groups")
+        each = groups.agg(F.sum(F.col("rows").cast("double") * F.col("rows")).alias("pairs"), F.sum("rows").alias("rows")).first()
+        if not each["rows"]:
             break
-        large = staged(labelled.join(groups.select("s").distinct(), "s", "left_semi"), "open")
-        x, y = large.alias("x"), (groups if k < ROUNDS else large).alias("y")
-        apart = F.expr("x.s = y.s AND x.label <> y.label" if k < ROUNDS else "x.s = y.s AND x.label < y.label")
+        last = k == ROUNDS or each["pairs"] <= PARTNERS * each["rows"]
+        large = staged(labelled.join(groups.select("s"), "s", "left_semi"), "open")
+        own = groups.select("s", F.explode(F.array_distinct(F.array(*[f"hub{i}" for i in range(HUBS)]))).alias("hub")).select("s", "hub.node", "hub.n", "hub.at", "hub.label")
+        x, y = large.alias("x"), (large if last else own).alias("y")
+        apart = F.expr("x.s = y.s AND x.label < y.label" if last else "x.s = y.s AND x.label <> y.label")
         pairs = x.join(y, apart & _possible("x", "y")).select(F.expr("LEAST(x.node, y.node)").alias("a"), F.expr("GREATEST(x.node, y.node)").alias("b")).distinct()
         graph.add(staged(pairs, "pairs"))
+        if last:
+            break
         large = large.drop("label")
     labels = graph.found.select(F.col("node").alias("of"), "component")
     return rows.join(labels, rows.node == labels.of, "left").select("doc_id", "k1", "k2", F.coalesce("component", "node").alias("root"))

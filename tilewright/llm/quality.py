@@ -14,11 +14,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilewright.llm._common import arrow_map, bytes_of, configure, table
+from tilewright.llm._common import arrow_map, bytes_of, configure, staged, table
 
-#: Labelled rows that are used at most (the ones with the smallest hashes of their ids), the share of
-#: them that calibrates, and entries of each kind's table.
-LABELLED, HELD_OUT, BITS = 2000, 0.25, 15
+#: Labelled ids that are used at most (those with the smallest hashes), bytes of their texts at most, the
+#: share of them that calibrates, and bits of each kind's table.
+LABELLED, LABELLED_BYTES, HELD_OUT, BITS = 2000, 16 << 20, 0.25, 15
 
 #: Fixed limits: fewest words, most repeated words in per cent, least calibrated probability to be kept.
 LEAST_WORDS, MOST_REPEATED, KEEP_FROM = 50, 50, 0.4
@@ -154,7 +154,7 @@ def _features(b: pa.RecordBatch) -> pa.RecordBatch:
             at, n = np.unique(place[cut[k] : cut[k + 1]], return_counts=True)
             places[k].append((at + (kind << BITS)).astype(np.int32))
             values[k].append((n / max(1, n.sum())).astype(np.float32))
-    return pa.RecordBatch.from_arrays([b.column(0), pa.array([np.concatenate(x) for x in places], pa.list_(pa.int32())), pa.array([np.concatenate(x) for x in values], pa.list_(pa.float32()))], ["label", "places", "values"])
+    return pa.RecordBatch.from_arrays([b.column(0), pa.array([np.concatenate(x) for x in places], pa.list_(pa.int32())), pa.array([np.concatenate(x) for x in values], pa.list_(pa.float32()))], ["id", "places", "values"])
 
 
 def regression(rows: np.ndarray, places: np.ndarray, values: np.ndarray, label: np.ndarray, rounds: int = 150, rate: float = 2.0, ridge: float = 1e-6) -> tuple[np.ndarray, float]:
@@ -187,19 +187,28 @@ def platt(score: np.ndarray, label: np.ndarray) -> tuple[float, float]:
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = LABELLED, text: str = "text", id: str = "doc_id", label: str = "quality") -> Model | None:
-    """A model from at most `limit` labelled rows; None where they do not show both classes.  Rows with a
-    null id or a label other than 0 and 1 are not used; repeated labels of an id take the largest."""
+    """A model from at most `limit` labelled rows, one for each id, with at most LABELLED_BYTES of text (in the
+    order of a hash of their ids, texts that do not fit being left out); None where they do not show both
+    classes.  Rows with a null id or a label other than 0 and 1 are not used; repeated labels of an id take
+    the largest, repeated documents of an id the shortest text, null counting as empty."""
     drawn = labels.filter(labels[id].isNotNull() & labels[label].isin(0, 1)).groupBy(labels[id].cast("long").alias("id")).agg(F.max(label).alias("label"))
-    drawn = drawn.orderBy(F.xxhash64("id"), "id").limit(limit)
-    texts = docs.select(docs[id].cast("long").alias("id"), docs[text].alias("text")).join(F.broadcast(drawn), "id").select("label", "text")
-    found = arrow_map(texts, _features, "label int, places array<int>, values array<float>").toArrow()
-    label_ = found["label"].to_numpy().astype(np.int64)
+    drawn = staged(drawn.orderBy(F.xxhash64("id"), "id").limit(limit), "drawn")
+    texts = docs.select(docs[id].cast("long").alias("id"), F.coalesce(docs[text], F.lit("")).alias("text")).join(F.broadcast(drawn.select("id")), "id")
+    texts = staged(texts.groupBy("id").agg(F.min(F.struct(F.octet_length("text").alias("size"), "text")).alias("own")).select("id", "own.*"), "texts")
+    room, taken = LABELLED_BYTES, []
+    for r in texts.select("id", "size").orderBy(F.xxhash64("id"), "id").collect():  # at most `limit` rows
+        if r["size"] <= room:
+            room -= r["size"]
+            taken.append(r["id"])
+    labelled = {r["id"]: r["label"] for r in drawn.collect()}
+    found = arrow_map(texts.filter(F.col("id").isin(taken)).select("id", "text"), _features, "id long, places array<int>, values array<float>").toArrow()
+    found = found.sort_by("id")  # the order of rows that come is not fixed
+    label_ = np.array([labelled[x] for x in found["id"].to_pylist()], np.int64)
     if len(set(label_.tolist())) < 2:
         return None
     lists = found["places"].combine_chunks()
     lengths = np.diff(lists.offsets.to_numpy())
     places, values = lists.flatten().to_numpy(), found["values"].combine_chunks().flatten().to_numpy()
-    # The order of the rows that came is not fixed; their content orders them.
     rows = np.repeat(np.arange(len(label_)), lengths)
     sums = np.bincount(rows, values * (places % 9973), len(label_))
     rank = np.argsort(np.argsort(sums, kind="stable"), kind="stable")

@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tilewright.llm._common import arrow_map, configure, fresh_path, staged, table, texts_of
+from tilewright.llm._common import arrow_map, configure, fresh_path, remove, scratch, staged, table, texts_of
 from tilewright.llm.bpe import encoder
 from tilewright.llm.library import LibraryEncoder
 from tilewright.llm.vocab import public_path, vocabulary
@@ -222,8 +222,10 @@ def _joined(b: pa.RecordBatch) -> pa.RecordBatch:
 def read_checksums(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of each document in the store, from its files: every chunk is
     unpacked and verified once, and a document's checksum is joined from those of its chunks, so ids
-    are not moved.  Raises if a chunk, a recipe or the manifest is damaged."""
+    are not moved.  The manifest is verified first.  Raises if a chunk, a recipe or the manifest is
+    damaged."""
     configure(spark)
+    verify_manifest(spark, path)
     chunks = spark.read.parquet(f"{path}/chunks").select("digest", "width", "payload")
     known = arrow_map(chunks, _chunk_digests, "digest binary, n long, crc long")
     recipes = spark.read.parquet(f"{path}/recipes")
@@ -250,13 +252,13 @@ def restore(spark: SparkSession, path: str) -> DataFrame:
 
 def verify_manifest(spark: SparkSession, path: str) -> str:
     """Recomputes the manifest from the recipes; returns the store's root as hex, or raises."""
-    found = spark.read.parquet(f"{path}/recipes").groupBy("part").agg(F.min("start").alias("offset"), F.sum("n_tokens").alias("n_tokens"), F.transform(F.array_sort(F.collect_list(F.struct("pos", "root"))), lambda x: x["root"]).alias("roots"))
+    found = spark.read.parquet(f"{path}/recipes").groupBy("part").agg(F.min("start").alias("offset"), F.sum("n_tokens").alias("n_tokens"), F.count(F.lit(1)).alias("documents"), F.transform(F.array_sort(F.collect_list(F.struct("pos", "root"))), lambda x: x["root"]).alias("roots"))
 
     def roots(b: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([merkle(r) for r in b.column(3).to_pylist()], pa.binary())], ["part", "offset", "n_tokens", "root"])
+        return pa.RecordBatch.from_arrays([*b.columns[:4], pa.array([merkle(r) for r in b.column(4).to_pylist()], pa.binary())], columns)
 
-    columns = ["part", "offset", "n_tokens", "root"]
-    made = arrow_map(found, roots, "part int, offset long, n_tokens long, root binary").select(columns)
+    columns = ["part", "offset", "n_tokens", "documents", "root"]
+    made = arrow_map(found, roots, "part int, offset long, n_tokens long, documents long, root binary")
     stored = spark.read.parquet(f"{path}/manifest").select(columns)
     if made.exceptAll(stored).union(stored.exceptAll(made)).limit(1).count():
         raise ValueError("the manifest does not match the recipes")
@@ -266,5 +268,10 @@ def verify_manifest(spark: SparkSession, path: str) -> str:
 def op10_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = fresh_path(spark, "store")
-    write(docs, path, public_path(), 2)
-    return read_checksums(spark, path)
+    try:
+        with scratch(spark):
+            write(docs, path, public_path(), 2)
+        with scratch(spark):
+            return staged(read_checksums(spark, path), "checksums", result=True)
+    finally:
+        remove(spark, path)

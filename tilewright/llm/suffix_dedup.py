@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilewright.llm._common import arrow_map, bytes_of, configure, free_name, staged, table, task_memory
+from tilewright.llm._common import arrow_map, bytes_of, configure, free_name, scratch, staged, table, task_memory
 
 #: Bytes of a passage that must repeat, of an anchor (a power of two), and most windows of a context.
 LENGTH, ANCHOR, MOST_WINDOWS = 400, 128, 1024
@@ -365,6 +365,7 @@ def without(data: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def with_spans(docs: DataFrame, spans: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """docs, each row with one more column, the last: the spans of its text, or null."""
+    spans = staged(spans, "spans", result=True)
     each = spans.select("d", "t", F.explode("spans").alias("s")).groupBy("d", "t", "s").count()
     lists = each.groupBy("d", "t").agg(F.collect_list("s").alias("s"))
     own_d, own_t, own_s = (free_name(docs.columns, c) for c in ("d", "t", "spans"))
@@ -380,7 +381,8 @@ def removal_digests(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     rows are elsewhere for each other; an empty table gives an empty result; other columns are not
     read."""
     own = docs.select(docs[id].alias("doc_id"), docs[text].alias("text"))
-    rows = with_spans(own, removed_spans(own, length, anchor, group_bytes))
+    with scratch(docs.sparkSession):
+        rows = with_spans(own, removed_spans(own, length, anchor, group_bytes))
 
     def kernel(b: pa.RecordBatch) -> pa.RecordBatch:
         n, gone, runs, digest, out = [], [], [], [], []
@@ -403,7 +405,8 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, le
     column, gets the new number of characters.  A null text stays null."""
     columns = docs.columns
     at, counted = columns.index(text), columns.index(count) if count in columns else None
-    rows = with_spans(docs, removed_spans(docs, length, anchor, text=text, id=id), text, id)
+    with scratch(docs.sparkSession):
+        rows = with_spans(docs, removed_spans(docs, length, anchor, text=text, id=id), text, id)
 
     def kernel(b: pa.RecordBatch) -> pa.RecordBatch:
         kept = []
