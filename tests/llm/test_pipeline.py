@@ -158,3 +158,20 @@ def test_one_row_of_each_class_with_null_and_reused_ids(spark):
     mixed = corpus_pipeline.mix(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
     n = Counter((r.doc_id, r.text) for r in mixed)
     assert 6 <= len(mixed) <= 9 and all(k <= 2 * sum(r[:2] == x for r in rows) for x, k in n.items())
+
+
+def test_large_groups_are_compared_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_copies.classes, "__defaults__", (5,))
+    monkeypatch.setattr(near_copies, "BLOCK", 8)
+    rng = random.Random(17)
+    core = words(rng, 60)
+    texts = [f"{words(rng, rng.randint(0, 8))} {core} {words(rng, rng.randint(0, 8))}" for _ in range(60)] + [words(rng, 60) for _ in range(20)]
+    sets = [plain_set(t) for t in texts]
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and root[a] != root[b]:
+                root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
+    docs = spark.createDataFrame([(i, t, "en", "src0", 0) for i, t in enumerate(texts)], SCHEMA).repartition(3)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root)) and 22 < len(set(root)) < 75

@@ -12,8 +12,8 @@ pairs: a bit that one set has and the other has not is a shingle of the one that
 link, of either source, is verified on the whole sets.
 
 Sets that share a shingle with very many others are not paired with all of them: every such group is
-compared with a few of its members, and what is linked already is left out.  Only members that some
-rounds leave apart are paired with each other.  Of the pairs of a family a few of each node are verified
+compared with a few of its members, and what is linked already is left out.  Groups that stay apart are
+dealt into blocks, and every two blocks are compared as whole sets.  Of the pairs of a family a few of each node are verified
 first, then one for each two classes that are still apart, then the rest."""
 
 from __future__ import annotations
@@ -33,8 +33,12 @@ from tilewright.llm.components import components
 #: Largest group that is paired at once, rows handled at once, members that a larger group is compared with in a round, and rounds.
 GROUP_LIMIT, ROWS_AT_ONCE, HUBS, ROUNDS = 128, 200_000, 4, 4
 
-#: Members of larger groups are paired with each other without further rounds if they have at most so many partners on average.
-PARTNERS = 1000
+#: Members of larger groups are compared with each other without further rounds if they have at most so many
+#: partners on average; members of a block, and shingles that are counted at once.
+PARTNERS, BLOCK, SHINGLES = 4096, 512, 4096
+
+#: Pairs are verified at once if there are at least so many nodes for each.
+SHARE = 4
 
 #: Documents of the sample, and how many of them make a shingle frequent; at most so many are sent out.
 SAMPLE, FREQUENT, FREQUENT_MOST = 4000, 8, 100_000
@@ -163,8 +167,8 @@ def _pairs(s, node, n, at) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _grouped(limit: int):
-    """Of entries sorted by s and node: possible pairs (a, b) of groups of up to `limit` rows, pairs of the
-    rows of larger groups with the first few, and the rows of larger groups themselves.  At most a block
+    """Of entries sorted by s, n and node: possible pairs (a, b) of groups of up to `limit` rows, pairs of the
+    rows of larger groups with the first few (the smallest sets), and the rows of larger groups themselves.  At most a block
     and a small group are held."""
     names = ["a", "b", "s", "n", "at"]
 
@@ -278,37 +282,98 @@ class _Links:
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, repeats: bool):
         self.docs, self.nodes, self.repeats = docs, nodes, repeats
+        self.size = nodes.count()
         self.links: DataFrame | None = None
-        self.found: DataFrame | None = None
+        self._found: DataFrame | None = None
+
+    @property
+    def found(self) -> DataFrame:
+        """(node, component) of the nodes with links."""
+        if self._found is None:
+            self._found = components(self.links)
+        return self._found
+
+    def compare(self, rows: DataFrame, sizes: DataFrame) -> None:
+        """Links among the rows (s, node, label) of each s, all with all; sizes: (s, rows)."""
+        sets = _sets(rows.select(F.col("node").alias("a"), F.col("node").alias("b")), self.docs, self.nodes)
+        if self.repeats:
+            sets = staged(sets.dropDuplicates(["node"]), "sets")
+        blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
+        dealt = rows.join(sizes.select("s", blocks.alias("blocks")), "s").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        dealt = dealt.select("s", "node", "label", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        dealt = dealt.select("s", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "node", "label").join(sets, "node").select("s", "x", "y", "node", "label", "set")
+        made = dealt.repartition("s", "x", "y").sortWithinPartitions("s", "x", "y").mapInArrow(_blocks, "a long, b long")
+        self.links = staged(self.links.union(staged(made.distinct(), "similar")), "links")
+        self._found = None
+
+    def _verify(self, pairs: DataFrame, sets: DataFrame) -> None:
+        made = _verified(pairs, sets)
+        if self.links is None or made.limit(1).count():
+            self.links = made if self.links is None else staged(self.links.union(made), "links")
+            self._found = None
 
     def add(self, pairs: DataFrame) -> None:
-        """Verifies as many of the pairs as it takes to connect what they connect.  Of each node one pair
-        (with its smallest partner) on either side, then one for each two classes that are apart, then
-        what is left."""
+        """Verifies as many of the pairs as it takes to connect what they connect: all of them if they are few
+        beside the nodes; else of each node one pair (with its smallest partner) on either side, then one for
+        each two classes that are apart, then what is left."""
         rest = _hopeful(pairs, self.nodes)
-        if self.found is None:
-            self.links, self.found = rest.limit(0), rest.limit(0).select(F.col("a").alias("node"), F.col("b").alias("component"))
-        sets = None
-        for k in range(3):
-            if not rest.limit(1).count():
+        sets = _sets(rest, self.docs, self.nodes)
+        if self.repeats:
+            sets = staged(sets.dropDuplicates(["node"]), "sets")
+        for k in range(2):
+            if SHARE * rest.count() <= self.size:
                 break
             if k == 0:
                 some = rest.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").union(rest.groupBy("a").agg(F.min("b").alias("b"))).distinct()
-            elif k == 1:
+            else:
                 two = rest.groupBy(F.least("label_a", "label_b").alias("x"), F.greatest("label_a", "label_b").alias("y"))
                 some = two.agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b")
-            else:
-                some = rest.select("a", "b")
-            if sets is None:
-                sets = _sets(rest, self.docs, self.nodes)
-                if self.repeats:
-                    sets = staged(sets.dropDuplicates(["node"]), "sets")
-            made = _verified(some, sets)
-            if made.limit(1).count():
-                self.links = staged(self.links.union(made), "links")
-                self.found = components(self.links)
-            if k < 2:
-                rest = staged(_apart(rest.select("a", "b").join(some, ["a", "b"], "left_anti"), self.found), "rest")
+            self._verify(some, sets)
+            rest = staged(_apart(rest.select("a", "b").join(some, ["a", "b"], "left_anti"), self.found), "rest")
+        self._verify(rest.select("a", "b"), sets)
+
+
+def similar_stars(nodes: np.ndarray, labels: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect what pairs of different labels with a similarity of at least 0.8 connect: shingles
+    in common are counted for all pairs at once, by products of matrices of some shingles."""
+    size = np.array([len(x) for x in sets], np.int64)
+    _, which = np.unique(np.concatenate(sets), return_inverse=True)
+    member = np.repeat(np.arange(len(sets)), size)
+    again = np.bincount(which)[which] > 1  # others are in one set only
+    which, member = which[again], member[again]
+    order = np.argsort(which, kind="stable")
+    which, member = which[order], member[order]
+    which = np.cumsum(np.append(0, which[1:] != which[:-1])) if len(which) else which
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for first in range(0, int(which[-1]) + 1 if len(which) else 0, SHINGLES):
+        a, b = np.searchsorted(which, [first, first + SHINGLES])
+        part = np.zeros((len(sets), SHINGLES), np.float32)
+        part[member[a:b], which[a:b] - first] = 1
+        both += part @ part.T
+    good = (9 * both.astype(np.int64) >= 4 * (size[:, None] + size)) & (labels[:, None] != labels)
+    x, y = np.nonzero(np.triu(good, 1))
+    if not len(x):
+        return nodes[:0], nodes[:0]
+    return simhash.stars(nodes[x], nodes[y])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (s, x, y, node, label, set) sorted by s, x and y: links inside each of their groups."""
+
+    def made(held: list[tuple]) -> pa.RecordBatch:
+        a, b = similar_stars(np.array([r[3] for r in held]), np.array([r[4] for r in held]), [np.frombuffer(r[5], np.uint64) for r in held])
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    with task_memory():
+        held: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and row[:3] != held[-1][:3]:
+                    yield made(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield made(held)
 
 
 def _possible(x: str, y: str) -> F.Column:
@@ -324,27 +389,29 @@ def classes(docs: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
     repeats = rows.groupBy("k1", "k2").count().filter("count > 1").limit(1).count() > 0  # whole rows
     nodes = staged(rows.filter("n > 0").dropDuplicates(["node"]).drop("doc_id"), "nodes")
     entries = arrow_map(nodes.select("node", "n", "prefix"), _entries, "s long, node long, n int, at int")
-    made = staged(entries.repartition("s").sortWithinPartitions("s", "node").mapInArrow(_grouped(limit), "a long, b long, s long, n int, at int"), "possible")
+    made = staged(entries.repartition("s").sortWithinPartitions("s", "n", "node").mapInArrow(_grouped(limit), "a long, b long, s long, n int, at int"), "possible")
     graph = _Links(docs, nodes, repeats)
     graph.add(staged(_light(nodes).union(made.filter("b IS NOT NULL").select("a", "b")).distinct(), "pairs"))
     large = made.filter("s IS NOT NULL").select("s", F.col("a").alias("node"), "n", "at")
     for k in range(ROUNDS + 1 if large.limit(1).count() else 0):
         labels = graph.found.select(F.col("node").alias("of"), "component")
         labelled = large.join(labels, large.node == labels.of, "left").select("s", "node", "n", "at", F.coalesce("component", "node").alias("label"))
-        hubs = [F.min(F.struct(F.xxhash64(F.lit(k * HUBS + i), "node"), "node", "n", "at", "label")).alias(f"hub{i}") for i in range(HUBS)]
+        # The smallest set is the likeliest to be similar to others of the group; the rest are drawn.
+        order = [F.xxhash64(F.lit(k * HUBS + i), "node") if i else F.col("n").cast("long") for i in range(HUBS)]
+        hubs = [F.min(F.struct(order[i], "node", "n", "at", "label")).alias(f"hub{i}") for i in range(HUBS)]
         groups = staged(labelled.groupBy("s").agg(*hubs, F.count(F.lit(1)).alias("rows"), (F.min("label") < F.max("label")).alias("open")).filter("open"), "groups")
         each = groups.agg(F.sum(F.col("rows").cast("double") * F.col("rows")).alias("pairs"), F.sum("rows").alias("rows")).first()
         if not each["rows"]:
             break
         last = k == ROUNDS or each["pairs"] <= PARTNERS * each["rows"]
         large = staged(labelled.join(groups.select("s"), "s", "left_semi"), "open")
-        own = groups.select("s", F.explode(F.array_distinct(F.array(*[f"hub{i}" for i in range(HUBS)]))).alias("hub")).select("s", "hub.node", "hub.n", "hub.at", "hub.label")
-        x, y = large.alias("x"), (large if last else own).alias("y")
-        apart = F.expr("x.s = y.s AND x.label < y.label" if last else "x.s = y.s AND x.label <> y.label")
-        pairs = x.join(y, apart & _possible("x", "y")).select(F.expr("LEAST(x.node, y.node)").alias("a"), F.expr("GREATEST(x.node, y.node)").alias("b")).distinct()
-        graph.add(staged(pairs, "pairs"))
         if last:
+            graph.compare(large.select("s", "node", "label"), groups.select("s", "rows"))
             break
+        own = groups.select("s", F.explode(F.array(*[F.col(f"hub{i}").dropFields("col1") for i in range(HUBS)])).alias("hub")).select("s", "hub.node", "hub.n", "hub.at", "hub.label").distinct()
+        x, y = large.alias("x"), own.alias("y")
+        pairs = x.join(y, F.expr("x.s = y.s AND x.label <> y.label") & _possible("x", "y")).select(F.expr("LEAST(x.node, y.node)").alias("a"), F.expr("GREATEST(x.node, y.node)").alias("b")).distinct()
+        graph.add(staged(pairs, "pairs"))
         large = large.drop("label")
     labels = graph.found.select(F.col("node").alias("of"), "component")
     return rows.join(labels, rows.node == labels.of, "left").select("doc_id", "k1", "k2", F.coalesce("component", "node").alias("root"))

@@ -67,7 +67,7 @@ def variants(rows: DataFrame, width: int) -> DataFrame:
     return rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("bit")).select(key.alias("key"), "fp", (F.col("at") + F.when(low, half).otherwise(0)).alias("at"))
 
 
-def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links (node, smallest node it is connected with) that connect what the links a - b connect."""
     nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
     x, y = at[: len(a)], at[len(a) :]
@@ -113,7 +113,7 @@ def _grouped(last: bool, bits: int, limit: int):
         small = ~large
         a, b = near_pairs(key[small], fp[small], bits)
         if len(a):
-            a, b = _stars(a, b)
+            a, b = stars(a, b)
             yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int32())], ["a", "b", "key", "at"])
         if large.any():
             n = int(large.sum())
