@@ -178,7 +178,7 @@ def test_stain_vectors_are_near_the_dyes():
     c = rng.random((5000, 2)) * np.array([1.2, 1.0])
     c[:1000, 0], c[1000:2000, 1] = 0.01, 0.01
     px = np.clip(255 * np.exp(-c @ DYES), 1, 255).astype(np.uint8)
-    m = np.array(normalization.fit_macenko(px)["stain_matrix"])
+    m = np.array(normalization.Macenko.fitted(px)["stain_matrix"])
     want = DYES / np.linalg.norm(DYES, axis=1, keepdims=True)
     assert np.abs(m - want).max() < 0.1
 
@@ -218,3 +218,13 @@ def test_polygons_are_scaled_to_the_plane():
     assert ring[0] == ring[-1] and all(0 <= x <= 6 and 8 <= y <= 14 for x, y in ring)
     assert artifacts.fits_plane((8, 8), (16, 16), 1.0, 0.5) and not artifacts.fits_plane((8, 8), (32, 32), 1.0, 0.5)
     assert artifacts.finest_model([2.0, 1.0], 1.5) == 1.0 and artifacts.finest_model([]) is None
+
+
+def test_lab_in_bytes():
+    colours = np.array([[255, 255, 255], [0, 0, 0], [255, 0, 0], [0, 255, 0], [0, 0, 255], [128, 128, 128]], np.uint8)
+    want = [[255, 128, 128], [0, 128, 128], [136, 208, 195], [224, 42, 211], [82, 207, 20], [137, 128, 128]]
+    assert normalization.to_lab8(colours).tolist() == want
+    back = normalization.Reinhard.pixels(normalization.Reinhard.channels(colours)).astype(int)
+    assert np.abs(back - colours)[[0, 1, 5]].max() <= 1 and np.abs(back - colours).max() <= 8  # bytes of Lab are coarse at the edge of the gamut
+    p = normalization.freeze(colours.reshape(1, -1, 3), None, "reinhard")
+    assert np.allclose(p["means"], [np.mean([w[0] for w in want]) / 2.55, np.mean([w[1] for w in want]) - 128, np.mean([w[2] for w in want]) - 128])

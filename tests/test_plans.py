@@ -3,11 +3,28 @@ from pyspark.sql import functions as F
 
 from tests.synthetic import slide
 from tilewright.operators import overlays
-from tilewright.plans import components
+from tilewright.plans import components, config
 from tilewright.plans.config import Config, ConfigError
 from tilewright.plans.report import slide_run
 
 
+@pytest.mark.parametrize("bad", [
+    {"tiles": {"size": -4}}, {"tiles": {"size": 2.5}}, {"tiles": {"drop_below": 1.5}}, {"tiles": {"outliers": -1}}, {"read": {"target_mpp": 0}}, {"read": {"target_mpp": float("nan")}},
+    {"read": {"max_pixels": 0}}, {"read": {"target_mpp": None}}, {"normalization": {"method": "nope"}}, {"normalization": {"references": []}}, {"tissue": {"method": "x"}},
+    {"artifacts": {"classes": []}}, {"artifacts": {"classes": ["fold", "fold"]}}, {"artifacts": {"classes": ["hole"]}}, {"artifacts": {"classes": [1]}}, {"artifacts": {"min_fraction": 2}},
+    {"thresholds": {"m": {"min": 2, "max": 1}}}, {"thresholds": {"m": {"by_stain": {"HE": {"min": 2, "max": 1}}}}}, {"thresholds": {"m": {"by_stain": 3}}}, {"thresholds": {"m": {"min": True}}},
+    {"thresholds": {"m": {"by_stain": {"HE": {"by_stain": {}}}}}}, {"checks": {"tolerance": -0.1}}, {"checks": {"enforced": ""}}, [], {"folds": None},
+])
+def test_values_outside_of_their_rules(bad):
+    with pytest.raises(ConfigError):
+        Config(bad)
+
+
+def test_all_faults_at_once():
+    assert len(config.faults({"nope": 1, "tiles": {"size": -4, "odd": 2}, "folds": {"lines": 1}})) == 4
+    assert config.faults(config.DEFAULTS) == [] and set(config.RULES) == {f"{k}.{f}" if k not in config.RULES else k for k, v in config.DEFAULTS.items() for f in (v or [""])}
+
+
 @pytest.mark.parametrize("bad", [{"nope": 1}, {"tiles": 3}, {"tiles": {"size": "x"}}, {"tiles": {"size": True}}, {"thresholds": {"m": {"min": "a"}}}, {"thresholds": {"m": {"least": 1}}}, {"folds": {"lines": 1}}, {"artifacts": {"classes": "fold"}}])
 def test_malformed_layers(bad):
     with pytest.raises(ConfigError):

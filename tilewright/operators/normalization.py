@@ -13,7 +13,6 @@ from tilewright.operators.folds import plane_vectors
 from tilewright.operators.planes import per_plane
 from tilewright.operators.tissue import unpack
 
-METHODS = ("macenko", "reinhard")
 LEAST_PIXELS, FLOOR = 3, 1e-8
 
 #: sRGB to XYZ over the white point, for Lab.
@@ -42,20 +41,6 @@ def concentrations(pixels: np.ndarray, matrix: np.ndarray) -> np.ndarray:
     return np.linalg.lstsq(matrix.T, densities(pixels).T, rcond=None)[0].T
 
 
-def fit_macenko(pixels: np.ndarray) -> dict:
-    _, a, b = plane_vectors(densities(pixels), 1, 99)
-    rows = [x if x[0] >= 0 else -x for x in (a, b)]
-    rows.sort(key=lambda x: -x[0])
-    m = np.stack([x / max(np.linalg.norm(x), 1e-12) for x in rows])
-    return {"stain_matrix": m.tolist(), "max_c": np.percentile(concentrations(pixels, m), 99, axis=0).tolist()}
-
-
-def apply_macenko(pixels: np.ndarray, target: dict, source: dict) -> np.ndarray:
-    c = concentrations(pixels, np.array(source["stain_matrix"]))
-    c = c * (np.array(target["max_c"]) / np.maximum(np.array(source["max_c"]), FLOOR))
-    return from_densities(c @ np.array(target["stain_matrix"]))
-
-
 def to_lab(pixels: np.ndarray) -> np.ndarray:
     s = pixels.astype(np.float64) / 255
     t = np.where(s > 0.04045, ((s + 0.055) / 1.055) ** 2.4, s / 12.92) @ _XYZ.T
@@ -72,41 +57,79 @@ def from_lab(lab: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(255 * s), 0, 255).astype(np.uint8)
 
 
-def fit_reinhard(pixels: np.ndarray) -> dict:
-    lab = to_lab(pixels)
-    return {"means": lab.mean(0).tolist(), "stds": lab.std(0).tolist()}
+#: Scale and shift of byte Lab, in single precision so that bytes come back as they were.
+_SCALE, _SHIFT = np.array([2.55, 1, 1], np.float32), np.array([0, 128, 128], np.float32)
+
+
+def to_lab8(pixels: np.ndarray) -> np.ndarray:
+    """Lab in bytes: L over 0..255, a and b around 128."""
+    return np.clip(np.rint(to_lab(pixels) * (2.55, 1, 1) + (0, 128, 128)), 0, 255)
+
+
+class Macenko:
+    """Two stain vectors in optical density, and the 99th percentile of each stain's amount."""
+
+    @staticmethod
+    def fitted(pixels: np.ndarray) -> dict:
+        _, a, b = plane_vectors(densities(pixels), 1, 99)
+        rows = sorted((x if x[0] >= 0 else -x for x in (a, b)), key=lambda x: -x[0])
+        m = np.stack([x / max(np.linalg.norm(x), 1e-12) for x in rows])
+        return {"stain_matrix": m.tolist(), "max_c": np.percentile(concentrations(pixels, m), 99, axis=0).tolist()}
+
+    @staticmethod
+    def moved(pixels: np.ndarray, source: dict, target: dict) -> np.ndarray:
+        amounts = concentrations(pixels, np.array(source["stain_matrix"]))
+        amounts *= np.array(target["max_c"]) / np.maximum(source["max_c"], FLOOR)
+        return from_densities(amounts @ np.array(target["stain_matrix"]))
+
+
+class Reinhard:
+    """Mean and spread of each Lab channel.  Channels are those of byte Lab (to_lab8), given as L over 0..100 and a
+    and b around 0: parameters fitted on continuous Lab would not be comparable."""
+
+    @staticmethod
+    def channels(pixels: np.ndarray) -> np.ndarray:
+        return (to_lab8(pixels).astype(np.float32) - _SHIFT) / _SCALE
+
+    @staticmethod
+    def pixels(channels: np.ndarray) -> np.ndarray:
+        whole = np.trunc(np.clip(np.float32(channels) * _SCALE + _SHIFT, 0, 255)).astype(np.float64)
+        return from_lab((whole - (0, 128, 128)) / (2.55, 1, 1))
 
+    @classmethod
+    def fitted(cls, pixels: np.ndarray) -> dict:
+        x = cls.channels(pixels).astype(np.float64)
+        return {"means": x.mean(0).tolist(), "stds": x.std(0).tolist(), "swatch": cls.pixels(x.mean(0)[None])[0].tolist(), "lab": "bytes"}
 
-def apply_reinhard(pixels: np.ndarray, target: dict, source: dict) -> np.ndarray:
-    scale = np.array(target["stds"]) / np.maximum(np.array(source["stds"]), FLOOR)
-    return from_lab((to_lab(pixels) - np.array(source["means"])) * scale + np.array(target["means"]))
+    @classmethod
+    def moved(cls, pixels: np.ndarray, source: dict, target: dict) -> np.ndarray:
+        scale = np.array(target["stds"]) / np.maximum(source["stds"], FLOOR)
+        return cls.pixels((cls.channels(pixels) - source["means"]) * scale + target["means"])
 
 
-_FIT = {"macenko": fit_macenko, "reinhard": fit_reinhard}
-_APPLY = {"macenko": apply_macenko, "reinhard": apply_reinhard}
+METHODS = {"macenko": Macenko, "reinhard": Reinhard}
 
 
-def check_method(method: str) -> str:
-    if method not in METHODS:
-        raise ValueError(f"no method {method!r}; there are {', '.join(METHODS)}")
-    return method
+def method_of(name: str) -> type:
+    if name not in METHODS:
+        raise ValueError(f"no method {name!r}; there are {', '.join(METHODS)}")
+    return METHODS[name]
 
 
 def freeze(rgb: np.ndarray, mask: np.ndarray | None = None, method: str = "macenko") -> dict:
     """Parameters of one image, to be applied without being estimated again."""
     pixels = bag(rgb, mask)
-    return {"method": check_method(method), "n_px": len(pixels)} | _FIT[method](pixels)
+    return {"method": method, "n_px": len(pixels)} | method_of(method).fitted(pixels)
 
 
 def normalize(rgb: np.ndarray, target: dict, source: dict, mask: np.ndarray | None = None) -> np.ndarray:
     """The image with its (masked) pixels moved from the source's parameters to the target's; the others are
     as they were."""
-    method = check_method(target["method"])
-    if source["method"] != method:
+    if source["method"] != target["method"]:
         raise ValueError("source and target were fitted by different methods")
     where = np.ones(rgb.shape[:2], bool) if mask is None else mask
     out = rgb.copy()
-    out[where] = _APPLY[method](rgb[where], target, source)
+    out[where] = method_of(target["method"]).moved(rgb[where], source, target)
     return out
 
 
