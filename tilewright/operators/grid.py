@@ -103,8 +103,10 @@ def outliers(tiles: DataFrame, n: int, key: str = "slide", order: list[str] | No
         (4, "low_focus", F.col("kept") & F.col("focus").isNotNull(), ["focus", *order], n),
     ]
     kinds = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.struct(F.lit(g).alias("g"), F.lit(name).alias("kind"))) for g, name, c, _, _ in branches]))
-    # One pass over the tiles: a row for each kind that a tile is of.
-    rows = tiles.withColumn("__k", F.explode(kinds)).withColumns({"group_ord": F.col("__k.g"), "kind": F.col("__k.kind")})
+    # A row for each kind that a tile is of.  Kinds without a limit are ranked apart, so that of the others all
+    # but the first n are dropped before the shuffle.
+    rows = tiles.withColumn("__k", F.explode(kinds)).withColumns({"group_ord": F.col("__k.g"), "kind": F.col("__k.kind")}).drop("__k")
     focus = F.when(F.col("group_ord") == 4, F.col("focus"))
     rank = F.row_number().over(Window.partitionBy(key, "group_ord").orderBy(focus, *order))
-    return rows.withColumn("rank", rank).filter((F.col("group_ord") < 2) | (F.col("rank") <= n)).drop("__k")
+    whole = rows.filter("group_ord < 2").withColumn("rank", rank)
+    return whole.unionByName(rows.filter("group_ord >= 2").withColumn("rank", rank).filter(F.col("rank") <= n))

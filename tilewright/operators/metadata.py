@@ -14,17 +14,28 @@ def first_wins(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     return rows.withColumns({"rank": F.row_number().over(Window.partitionBy(*key).orderBy(*order)), "copies": F.count(F.lit(1)).over(Window.partitionBy(*key))})
 
 
+def _one_of_each(rows: DataFrame, key: list[str], order: list[str], pick) -> DataFrame:
+    """One row a key and its copies, by an aggregate that is combined before the shuffle; null key parts are
+    equal to each other, and nulls come first in the order."""
+    whole, by = F.struct(*[F.col(f"`{c}`") for c in rows.columns]), F.struct(*order)
+    found = rows.groupBy(*key).agg(pick(whole, by).alias("__one"), F.count(F.lit(1)).alias("copies"))
+    return found.select("__one.*", "copies")
+
+
+def first_records(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """The first row of each key by order, with `copies`, the number of its rows."""
+    return _one_of_each(rows, key, order, F.min_by)
+
+
 def index(rows: DataFrame, key: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:
     """The records (one a key), and (key, copies) of the keys that came more than once."""
-    ranked = first_wins(rows, key, order)
-    records = ranked.filter("rank = 1").drop("rank", "copies")
-    return records, ranked.filter("rank = 1 AND copies > 1").select(*key, "copies")
+    found = first_records(rows, key, order)
+    return found.drop("copies"), found.filter("copies > 1").select(*key, "copies")
 
 
 def last_wins(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """One row a key, the last by order; null key parts are equal to each other."""
-    w = Window.partitionBy(*key).orderBy(*[F.col(c).desc() for c in order])
-    return rows.withColumn("__r", F.row_number().over(w)).filter("__r = 1").drop("__r")
+    return _one_of_each(rows, key, order, F.max_by).drop("copies")
 
 
 def lookup(slides: DataFrame, records: DataFrame, key: str) -> DataFrame:

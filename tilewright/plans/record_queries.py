@@ -99,8 +99,8 @@ def level_plan(spark: SparkSession, d: str) -> DataFrame:
 def metadata_first_wins(spark: SparkSession, d: str) -> DataFrame:
     """Index of metadata rows: the first of each key, and how often it came."""
     rows = read(spark, d, "lineitem").select(F.col("l_suppkey").alias("slide"), F.col("l_partkey").alias("record"), "l_orderkey", "l_linenumber", "l_quantity")
-    ranked = metadata.first_wins(rows, ["slide", "record"], ["l_orderkey", "l_linenumber", "l_quantity"]).filter("rank = 1")
-    return ranked.select("slide", "record", "copies", F.col("l_orderkey").alias("first_order"))
+    found = metadata.first_records(rows, ["slide", "record"], ["l_orderkey", "l_linenumber", "l_quantity"])
+    return found.select("slide", "record", "copies", F.col("l_orderkey").alias("first_order"))
 
 
 @query("""
