@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -41,7 +43,29 @@ def test_identity_of_code(tmp_path):
     (tmp_path / "a.py").write_text("x")
     one = workflow.source_sha(str(tmp_path))
     (tmp_path / "a.py").write_text("y")
-    assert one != workflow.source_sha(str(tmp_path)) and len(workflow.batch_id()) == 15
+    assert one != workflow.source_sha(str(tmp_path))
+
+
+def test_batches_of_the_same_second_stay_apart():
+    now = dt.datetime(2024, 1, 2, 3, 4, 5)
+    one, two = workflow.batch_id(now), workflow.batch_id(now)
+    assert one != two and one.startswith("20240102_030405_")
+
+
+def test_interrupted_batches_leave_failed_jobs(spark, tmp_path):
+    path = f"file://{tmp_path}/outcomes"
+    todo = workflow.jobs(manifest(spark), ["stain"], Config(), code="1")
+
+    def stopped(jobs):
+        raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        workflow.run_batch(todo, path, stopped, id="b1")
+    noted = {(r.slide, r.state) for r in workflow.outcomes(spark, path).collect()}
+    assert noted == {(s, x) for s in ("a/x.svs", "a/y.svs") for x in ("running", "failed")}
+    got = {(r.dimension, r.value): r.n for r in workflow.summary(workflow.outcomes(spark, path)).collect()}
+    assert got["state", "failed"] == 2 and got["error_type", "KeyboardInterrupt"] == 2 and ("state", "running") not in got
+    assert workflow.run_batch(todo, path, process, retry_failed=True, id="b2").count() == 3
 
 
 def test_pages_are_safe():

@@ -8,14 +8,17 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import os
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilewright.operators import batch
 from tilewright.plans.config import Config
 
+#: What is later among the outcomes of a slide: of a batch, the one that has ended.
+LATEST = ["started", "suffix", "folder", "finished"]
 OUTCOMES = "slide string, job_key string, batch_id string, state string, started timestamp, finished timestamp, suffix int, folder string, stage string, error_type string, message string, fingerprint string"
 
 
@@ -34,7 +37,8 @@ def source_sha(folder: str | None = None) -> str:
 
 
 def batch_id(now: dt.datetime | None = None) -> str:
-    return (now or dt.datetime.now(dt.timezone.utc)).strftime("%Y%m%d_%H%M%S")
+    """The time in UTC, and eight random digits: batches that start in the same second stay apart."""
+    return f"{now or dt.datetime.now(dt.timezone.utc):%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:8]}"
 
 
 def fingerprints(jobs: DataFrame, config: Config, inputs: list[str], code: str | None = None) -> DataFrame:
@@ -58,30 +62,42 @@ def outcomes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(OUTCOMES).parquet(path)
 
 
+def _record(rows: DataFrame, path: str, id: str, started: dt.datetime, state: Column, ended: bool, **says: str) -> None:
+    """Appends an outcome for each row; `says` gives stage, error_type and message where rows have none."""
+    texts = [F.lit(says.get(c)).cast("string").alias(c) if c not in rows.columns else F.col(c) for c in ("stage", "error_type", "message")]
+    finished = F.current_timestamp() if ended else F.lit(None).cast("timestamp")
+    rows.select(
+        "slide", "job_key", F.lit(id).alias("batch_id"), state.alias("state"), F.lit(started).cast("timestamp").alias("started"), finished.alias("finished"),
+        F.lit(0).alias("suffix"), F.lit(id).alias("folder"), *texts, "fingerprint",
+    ).write.mode("append").parquet(path)
+
+
 def run_batch(todo: DataFrame, path: str, process: Callable[[DataFrame], DataFrame], retry_failed: bool = False, force: bool = False, id: str | None = None) -> DataFrame:
     """Runs the jobs that are due through `process` (jobs in; slide, stage, error_type, message out, error_type
     null where all went well), appends their outcomes and returns them.  Jobs with a problem of their
-    own fail without being run, and do not stop the others."""
+    own fail without being run, and do not stop the others.  Before anything is run, the jobs are noted as
+    running; a batch that ends by an error or an interrupt notes them as failed."""
     spark, id = todo.sparkSession, id or batch_id()
-    latest = batch.latest_runs(outcomes(spark, path), order=["started", "suffix", "folder"])
+    latest = batch.latest_runs(outcomes(spark, path), order=LATEST)
     planned = batch.resume(todo, latest, retry_failed=retry_failed, force=force).filter("action = 'run'")
     bad = F.col("problem").isNotNull() | F.col("collides")
     due = planned.filter(~bad)
-    now = F.lit(dt.datetime.now(dt.timezone.utc)).cast("timestamp")
-    done = due.join(process(due), "slide", "left")
+    now = dt.datetime.now(dt.timezone.utc)
+    _record(due, path, id, now, F.lit(batch.RUNNING), False)
     broken = planned.filter(bad).withColumns({"stage": F.lit("manifest"), "error_type": F.lit("ManifestError"), "message": F.coalesce("problem", F.lit("another job has the same output"))})
-    both = done.unionByName(broken, allowMissingColumns=True)
-    made = both.select(
-        "slide", "job_key", F.lit(id).alias("batch_id"), F.when(F.col("error_type").isNull(), batch.COMPLETED).otherwise(batch.FAILED).alias("state"), now.alias("started"), F.current_timestamp().alias("finished"),
-        F.lit(0).alias("suffix"), F.lit(id).alias("folder"), "stage", "error_type", "message", "fingerprint",
-    )
-    made.write.mode("append").parquet(path)
-    return outcomes(spark, path).filter(F.col("batch_id") == id)
+    state = F.when(F.col("error_type").isNull(), batch.COMPLETED).otherwise(batch.FAILED)
+    try:
+        done = due.join(process(due), "slide", "left")
+        _record(done.unionByName(broken, allowMissingColumns=True), path, id, now, state, True)
+    except BaseException as e:
+        _record(due, path, id, now, F.lit(batch.FAILED), True, stage="batch", error_type=type(e).__name__, message=str(e)[:300])
+        raise
+    return outcomes(spark, path).filter((F.col("batch_id") == id) & (F.col("state") != batch.RUNNING))
 
 
 def summary(done: DataFrame) -> DataFrame:
     """(dimension, value, n) of the latest outcome of each slide."""
-    last = batch.latest_runs(done, order=["started", "suffix", "folder"])
+    last = batch.latest_runs(done, order=LATEST)
     return batch.summary_counts(last, ["state", "stage", "error_type"])
 
 
