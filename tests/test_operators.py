@@ -131,6 +131,7 @@ def test_merges_and_indexes(spark):
     records, doubled = metadata.index(r, ["key"], ["ord"])
     assert {x.v for x in records.collect()} == {"a", "c", "d"} and doubled.count() == 2
     assert {x.v for x in metadata.last_wins(r, ["key"], ["ord"]).collect()} == {"b", "c", "e"}
+    assert {(x.v, x.copies) for x in metadata.first_records(r, ["key"], ["ord"]).collect()} == {("a", 2), ("c", 1), ("d", 2)}
     m = spark.createDataFrame([("x", "y"), (" ", "y"), (None, "nan")], "cli_stain string, meta_stain string")
     assert [(x.stain, x.stain_origin) for x in metadata.merged_source(m, ["stain"]).collect()] == [("x", "cli"), ("y", "metadata"), (None, "none")]
     with pytest.raises(ValueError):
@@ -207,6 +208,23 @@ def test_failed_planes_are_rows(spark):
     assert pen[1].pen_fraction == pytest.approx((~t).mean(), abs=0.02)
 
 
+def test_chunks_of_both_kinds_are_segmented_again(spark):
+    rgb, t, _ = slide()
+    h, w = t.shape
+    good, none, all_ = (bytearray(np.packbits(m).tobytes()) for m in (t, np.zeros_like(t), np.ones_like(t)))
+    given = [(1, rgb, 0.1, none), (2, rgb, 0.11, none), (3, rgb, 1.0, all_), (4, np.full_like(rgb, 255), 0.5, good), (5, rgb, 0.05, good)]
+    chunks = spark.createDataFrame([(k, h, w, bytearray(a.tobytes()), c, m) for k, a, c, m in given], "plane long, h int, w int, data binary, coarse double, support binary")
+    got = {r.plane: r for r in slide_measures.refined_chunks(chunks).collect()}
+    assert {k: r.state for k, r in got.items() if k != 4} == {1: "sparse", 2: "refined", 3: "interior", 5: "sparse"}
+    assert got[1].refined == 0 and got[2].refined == pytest.approx(t.mean(), abs=0.02) and got[3].refined == 1
+    assert got[4].state == "refined" or (got[4].reseg_error and bytes(got[4].mask) == bytes(good))
+    counts = slide_measures.chunk_counts(spark.createDataFrame([(1, "sparse"), (1, "refined"), (1, "failed"), (1, "sparse")], "slide int, state string")).first()
+    assert counts.asDict() == {"slide": 1, "n_chunks": 4, "n_resegmented": 1, "n_carried_sparse": 2, "n_carried_interior": 0, "n_reseg_failed": 1}
+    # Tiles are segmented again also where the coarse mask has next to nothing.
+    tile = {r.plane: r for r in slide_measures.tile_measures(chunks, 0.2).collect()}
+    assert tile[5].resegmented and tile[1].resegmented and not tile[3].resegmented
+
+
 def test_regions_by_plane(spark):
     m = spark.createDataFrame([(1, 0, 0), (1, 1, 1), (1, 5, 5), (2, 3, 3)], "plane long, y int, x int")
     assert rows(planes.labelled_pixels(m, 8, 8)) == [(1, 0, 0, 0), (1, 1, 1, 0), (1, 5, 5, 45), (2, 3, 3, 27)]

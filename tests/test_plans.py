@@ -32,7 +32,7 @@ def test_malformed_layers(bad):
 
 
 def test_layers_and_identity():
-    c = Config({"tiles": {"drop_below": None}}, {"tiles": {"size": 256}})
+    c = Config({"tiles": {"drop_below": 0.2}}, {"tiles": {"size": 256}})  # the first layer says what the defaults say
     assert c.get("tiles.size") == 256 and c.get("tiles.outliers") == 10 and c.get("a.b", 7) == 7
     assert c.sha256 == Config({"tiles": {"size": 256}}).sha256 != Config().sha256
     t = Config({"thresholds": {"focus": {"min": 1, "max": None, "by_stain": {"HE": None}}, "x": None}})

@@ -144,6 +144,14 @@ def test_verified_has_three_answers(spark):
     assert got["b"] is None and got["c"] is False and got["a"] is (__import__("hashlib").md5(b"xy").hexdigest() == "7b8b965ad4bca0e41ab51de7b31363a1")
 
 
+def test_reports_have_no_odd_numbers(spark, tmp_path):
+    rows = [("s", float("nan"), {"a": float("inf"), "b": 1.0}, [1.5, float("-inf"), None], (float("nan"), 2)), ("t", None, None, None, None)]
+    made = spark.createDataFrame(rows, "slide string, x double, m map<string,double>, l array<double>, n struct<f:double,i:int>")
+    sinks.write_reports(made, f"file://{tmp_path}/reports")
+    got = {p.parent.name: json.loads(p.read_text()) for p in tmp_path.glob("reports/*/*.json")}
+    assert got == {"slide=s": {"m": {"a": None, "b": 1.0}, "l": [1.5, None, None], "n": {"i": 2}}, "slide=t": {}}
+
+
 def test_json_has_no_odd_numbers():
     assert sinks.canonical_json({"b": float("nan"), "a": [float("inf"), 1.5]}) == '{"a":[null,1.5],"b":null}'
 

@@ -146,8 +146,9 @@ def slide_quality(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def fold_detection(spark: SparkSession, d: str) -> DataFrame:
-    """Folds of each small plane."""
-    return folds.detect(_masked(spark, d).withColumn("mpp", F.lit(100.0)), lines=False).select("plane", "fold_fraction", "error_type")
+    """Soft and line folds of each small plane."""
+    found = folds.detect(_masked(spark, d).withColumn("mpp", F.lit(100.0)))
+    return found.select("plane", "fold_fraction", "soft_fraction", "line_fraction", "line_error", "error_type")
 
 
 @query()

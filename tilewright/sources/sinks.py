@@ -10,9 +10,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType, MapType, StructType
 
+from tilewright.functions.guards import is_finite
 from tilewright.shipping import ship
 
 
@@ -133,9 +135,24 @@ def canonical_json(value) -> str:
     return json.dumps(json_safe(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
+def _finite(column: Column, kind: DataType) -> Column:
+    """column with its NaN and infinite numbers as null, inside structs, arrays and map values too."""
+    if isinstance(kind, (DoubleType, FloatType)):
+        return F.when(is_finite(column), column)
+    if isinstance(kind, StructType):
+        fields = F.struct(*[_finite(column.getField(f.name), f.dataType).alias(f.name) for f in kind])
+        return F.when(column.isNotNull(), fields)
+    if isinstance(kind, ArrayType):
+        return F.transform(column, lambda x: _finite(x, kind.elementType))
+    if isinstance(kind, MapType):
+        return F.transform_values(column, lambda _, x: _finite(x, kind.valueType))
+    return column
+
+
 def write_reports(reports: DataFrame, path: str, key: str = "slide") -> None:
-    """A JSON document a row, in a folder for each slide."""
-    reports.write.mode("append").partitionBy(key).json(path)
+    """A JSON document a row, in a folder for each slide; NaN and infinities become null at any depth."""
+    safe = [_finite(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in reports.schema]
+    reports.select(*safe).write.mode("append").partitionBy(key).json(path)
 
 
 def write_summary(rows: DataFrame, path: str) -> None:
