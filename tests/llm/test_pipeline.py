@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -31,10 +32,11 @@ def corpus(spark, tmp_path):
 
 
 def without_passages(t, mark):
-    """The text without the marked runs that hold 51 words or parts of words."""
+    """The text without the marked runs that hold 51 whole words."""
+    spans = [m.span() for m in re.finditer(rb"[^ \t-\r]+", t)]
     mark, at = mark.copy(), np.flatnonzero(np.diff(np.concatenate([[False], mark, [False]])))
     for f, e in zip(at[::2], at[1::2]):
-        if len(t[f:e].split()) < 51:
+        if sum(f <= a and b <= e for a, b in spans) < 51:
             mark[f:e] = False
     return bytes(b for b, x in zip(t, mark) if not x).decode("utf-8", "ignore")
 
@@ -45,6 +47,8 @@ def test_passages_of_over_fifty_words(spark):
     passages = [say(n) for n in range(51, 71)] + [say(45), say(40)]
     rows = [(k, f"{say(60)} {passages[k % 22]} {say(rng.randint(0, 60))}", "en", "src0", 0) for k in range(66)]
     rows += [(100, None, None, None, None), (100, "", "en", None, 0), (None, say(90), "en", "src0", 0), (None, say(90), "en", "src0", 0)]
+    fifty = say(50)  # with parts of the words beside it, which do not count
+    rows += [(200 + k, f"{say(30)}zz {fifty} zz{say(20)}", "en", "src0", 0) for k in range(3)]
     docs = spark.createDataFrame(rows, SCHEMA).withColumn("__spans", F.lit(1)).withColumn("D", F.lit(2)).repartition(3)
     out = corpus_pipeline.repeated_passages(spark, docs, "")
     assert out.columns == docs.columns
@@ -54,6 +58,7 @@ def test_passages_of_over_fifty_words(spark):
     assert got == want
     kept = [t for _, t in got if t]
     assert not any(p in t for t in kept for p in passages[:20]) and sum(p in t for t in kept for p in passages[20:]) == 6
+    assert sum(fifty in t for t in kept) == 3
 
 
 def test_stages_without_loss_on_awkward_tables(spark, tmp_path):

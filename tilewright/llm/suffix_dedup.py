@@ -363,6 +363,13 @@ def without(data: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([data[s:e] for s, e in zip(ends, [*[f for f, _ in spans], len(data)])])
 
 
+def whole_words(data: bytes, f: int, t: int) -> int:
+    """Words of data[f:t], without those that go on outside."""
+    cut_start = f > 0 and data[f - 1 : f + 1] == data[f - 1 : f + 1].strip()
+    cut_end = t < len(data) and data[t - 1 : t + 1] == data[t - 1 : t + 1].strip()
+    return max(0, len(data[f:t].split()) - cut_start - cut_end)
+
+
 def with_spans(docs: DataFrame, spans: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """docs, each row with one more column, the last: the spans of its text, or null."""
     spans = staged(spans, "spans", result=True)
@@ -400,7 +407,7 @@ def removal_digests(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
 
 def deduplicated(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, least_words: int = 0, text: str = "text", id: str = "doc_id", count: str | None = "n_chars") -> DataFrame:
     """docs with repeated passages taken out of their texts: runs of bytes that strings of `length` bytes
-    cover which also start elsewhere, if they hold at least `least_words` words (parts of words count).
+    cover which also start elsewhere, if they hold at least `least_words` whole words.
     Characters of which only a part is left go as well.  All columns stay; `count`, if there is such a
     column, gets the new number of characters.  A null text stays null."""
     columns = docs.columns
@@ -411,7 +418,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, le
     def kernel(b: pa.RecordBatch) -> pa.RecordBatch:
         kept = []
         for x, data, spans in zip(b.column(at), bytes_of(b.column(at)), b.column(b.num_columns - 1).to_pylist()):
-            gone = [(f, t) for f, t in merged(spans or []) if not least_words or len(data[f:t].split()) >= least_words]
+            gone = [(f, t) for f, t in merged(spans or []) if not least_words or whole_words(data, f, t) >= least_words]
             kept.append(None if not x.is_valid else without(data, gone).decode("utf-8", "ignore"))
         cols = list(b.columns[:-1])
         cols[at] = pa.array(kept, cols[at].type)
