@@ -180,3 +180,14 @@ def test_large_groups_are_compared_in_blocks(spark, monkeypatch):
     docs = spark.createDataFrame([(i, t, "en", "src0", 0) for i, t in enumerate(texts)], SCHEMA).repartition(3)
     kept = corpus_pipeline.near_duplicates(spark, docs, "")
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root)) and 22 < len(set(root)) < 75
+
+
+def test_shingles_of_many_documents_are_found_in_large_tables(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "SAMPLE", 20)
+    rng = random.Random(29)
+    line = words(rng, 12)
+    docs = spark.createDataFrame([(i, words(rng, 20) + (" " + line if i < 200 else "")) for i in range(2000)], "doc_id long, text string")
+    found = set(near_copies._frequent(docs).tolist())
+    assert found == set(near_copies.shingle_set(line.encode()).tolist())  # of 12 in 100 documents, however many there are
+    monkeypatch.setattr(near_copies, "FREQUENT_MOST", 3)
+    assert len(near_copies._frequent(docs)) <= 3

@@ -7,7 +7,8 @@ finds the rest: two sets of similarity >= 0.8 share one of their first n - ceil(
 whatever the order of shingles is, as long as all sets follow the same.  Sets are indexed by these
 prefixes, equal shingles are brought together by one shuffle, and pairs that their sizes and places
 allow are kept.  Shingles that are frequent in a sample come last in the order, so that common lines
-seldom index anything; the sample bears on speed only.  Before whole sets are read, bitmaps rule out
+seldom index anything; the sample bears on speed only.  It is a share of the documents, not a number of them: what
+a number of documents has in common would else grow with the table, and with it the groups to be compared.  Before whole sets are read, bitmaps rule out
 pairs: a bit that one set has and the other has not is a shingle of the one that the other lacks.  Every
 link, of either source, is verified on the whole sets.
 
@@ -40,8 +41,9 @@ PARTNERS, BLOCK, SHINGLES = 4096, 512, 4096
 #: Pairs are verified at once if there are at least so many nodes for each.
 SHARE = 4
 
-#: Documents of the sample, and how many of them make a shingle frequent; at most so many are sent out.
-SAMPLE, FREQUENT, FREQUENT_MOST = 4000, 8, 100_000
+#: Documents of the sample at least, and one of how many; how many of them make a shingle frequent; at most so
+#: many shingles are sent out, those of most documents.
+SAMPLE, SAMPLE_STEP, FREQUENT, FREQUENT_MOST = 4000, 16, 3, 2_000_000
 
 #: Bits of a bitmap for each shingle and at least, and up to how many row keys are sent to all executors instead of dealing out texts.
 BITS_EACH, LEAST_BITS, SENT = 4, 512, 50_000
@@ -88,10 +90,19 @@ def _frequent(docs: DataFrame) -> np.ndarray:
         sets = [shingle_set(t) for t in bytes_of(b.column(0))]
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], ["s"])
 
-    step = max(1, docs.count() // SAMPLE)
-    taken = docs.filter(F.pmod(F.xxhash64("text"), F.lit(step)) == 0).select("text")
-    counts = arrow_map(taken, kernel, "s long").groupBy("s").count().filter(F.col("count") >= FREQUENT)
-    return np.array([r.s for r in counts.orderBy(F.desc("count"), "s").limit(FREQUENT_MOST).collect()], np.int64).view(np.uint64)
+    step = min(max(1, docs.count() // SAMPLE), SAMPLE_STEP)
+    taken = docs.filter(F.pmod(F.xxhash64("text"), F.lit(step)) == 0).select("text").distinct()
+    counts = arrow_map(taken, kernel, "s long").groupBy("s").agg(F.count(F.lit(1)).cast("int").alias("n")).filter(F.col("n") >= FREQUENT)
+    counts = staged(counts, "frequent")
+    least, rows = FREQUENT, 0
+    sizes = counts.groupBy(F.least("n", F.lit(SAMPLE)).alias("n")).count().collect()
+    for r in sorted(sizes, key=lambda r: -r["n"]):
+        rows += r["count"]
+        if rows > FREQUENT_MOST:
+            least = r["n"] + 1
+            break
+    found = counts.filter(F.col("n") >= least).select("s").toArrow().column(0)
+    return found.to_numpy().view(np.uint64)
 
 
 def fingerprint(s: np.ndarray) -> int:
