@@ -1,3 +1,4 @@
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -236,3 +237,20 @@ def test_results_do_not_depend_on_partitions(spark):
     t = spark.range(500).selectExpr("id % 7 AS slide", "id AS ord", "(id * 37 % 101) / 100D AS coarse", "(id * 53 % 101) / 100D AS refined", "id * 1.5D AS focus", "id % 13 = 0 AS read_error")
     got = [rows(measures.tile_summary(grid.two_pass_drop(t.repartition(n), 0.3))) for n in (1, 4, 16)]
     assert got[0] == got[1] == got[2]
+
+
+def test_footprint_join_sends_no_side_to_the_driver(spark, tmp_path):
+    from tilewright.plans.tile_queries import QUERIES
+
+    spark.createDataFrame([(k, s) for k, s in enumerate([1, 7, 50, 70, 90, None, -3])], "p_partkey long, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    for name in ("tile_overlap", "class_fractions", "artifact_label"):
+        plan = QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and plan.count("Exchange hashpartitioning(slide") == 3  # tiles, blocks of cells, groups; no cells
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
+    from tilewright.plans.tile_queries import ORACLE_SQL
+
+    for name in ("tile_overlap", "class_fractions", "artifact_label"):
+        got, want = QUERIES[name](spark, str(tmp_path)), con.execute(ORACLE_SQL[name])
+        order = [d[0] for d in want.description]
+        assert sorted(map(repr, (tuple(r) for r in got.select(*order).collect()))) == sorted(map(repr, want.fetchall()))

@@ -23,11 +23,11 @@ def class_id(name: str | int) -> int:
     raise ValueError(f"{name!r} is no class; there are {', '.join(CLASSES)}")
 
 
-def class_fractions(tiles: DataFrame, class_map: DataFrame, classes: tuple[str, ...] = ARTIFACTS, key: str = "slide", digits: int = 4) -> DataFrame:
+def class_fractions(tiles: DataFrame, class_map: DataFrame, classes: tuple[str, ...] = ARTIFACTS, key: str = "slide", digits: int = 4, placed: bool = False) -> DataFrame:
     """(key, col, row, area, fractions..., background_fraction): shares of a tile's footprint in each class,
-    rounded; class_map: (key, mx, my, cls)."""
+    rounded; class_map: (key, mx, my, cls), placed as in footprint_join."""
     area = ((F.col("mx1") - F.col("mx0")) * (F.col("my1") - F.col("my0"))).cast("long")
-    hits = footprint_join(tiles.withColumn("area", area), class_map, key)
+    hits = footprint_join(tiles.withColumn("area", area), class_map, key, placed=placed)
     counts = [F.round(fraction(F.count_if(F.col("cls") == class_id(c)), F.first("area")), digits).alias(f"{c}_fraction") for c in (*classes, "background")]
     return hits.groupBy(key, "col", "row").agg(F.first("area").alias("area"), *counts)
 

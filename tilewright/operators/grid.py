@@ -36,21 +36,25 @@ def footprint(x: Column, y: Column, w: Column, h: Column, sx: Column, sy: Column
     return {"mx0": mx0, "mx1": mx1, "my0": my0, "my1": my1}
 
 
-def footprint_join(tiles: DataFrame, pixels: DataFrame, key: str = "slide", block: int = BLOCK) -> DataFrame:
+def footprint_join(tiles: DataFrame, pixels: DataFrame, key: str = "slide", block: int = BLOCK, placed: bool = False) -> DataFrame:
     """Each tile (with mx0, mx1, my0, my1) with the pixels (key, mx, my) of its footprint.  The range join
-    is an equality join on blocks of the mask: a tile is listed in each block that it touches."""
+    is an equality join on blocks of the mask: a tile is listed in each block that it touches.  Both sides are
+    dealt out, and tiles are what is held: an estimate of rows that were exploded is far below their size, and by it
+    either side might be sent to the driver whole.  placed: pixels have their blocks already, as long columns bx
+    and by; if they are dealt out by key, bx and by they are not moved again."""
     spread = tiles.withColumn("bx", F.explode(F.sequence(F.floor(F.col("mx0") / block), F.floor((F.col("mx1") - 1) / block))))
     spread = spread.withColumn("by", F.explode(F.sequence(F.floor(F.col("my0") / block), F.floor((F.col("my1") - 1) / block))))
-    placed = pixels.withColumns({"bx": F.floor(F.col("mx") / block), "by": F.floor(F.col("my") / block)})
+    if not placed:
+        pixels = pixels.withColumns({"bx": F.floor(F.col("mx") / block), "by": F.floor(F.col("my") / block)})
     inside = (F.col("mx") >= F.col("mx0")) & (F.col("mx") < F.col("mx1")) & (F.col("my") >= F.col("my0")) & (F.col("my") < F.col("my1"))
-    return spread.join(placed, [key, "bx", "by"]).filter(inside).drop("bx", "by")
+    return spread.hint("shuffle_hash").join(pixels, [key, "bx", "by"]).filter(inside).drop("bx", "by")
 
 
-def tile_overlap(tiles: DataFrame, mask: DataFrame, key: str = "slide") -> DataFrame:
+def tile_overlap(tiles: DataFrame, mask: DataFrame, key: str = "slide", placed: bool = False) -> DataFrame:
     """(key, col, row, covered, area, overlap) of each tile with any mask pixel set; mask: (key, mx, my) of
-    the pixels that are set."""
+    the pixels that are set, placed as in footprint_join."""
     area = (F.col("mx1") - F.col("mx0")) * (F.col("my1") - F.col("my0"))
-    found = footprint_join(tiles.withColumn("area", area.cast("long")), mask, key).groupBy(key, "col", "row", "area").agg(F.count(F.lit(1)).alias("covered"))
+    found = footprint_join(tiles.withColumn("area", area.cast("long")), mask, key, placed=placed).groupBy(key, "col", "row", "area").agg(F.count(F.lit(1)).alias("covered"))
     return found.select(key, "col", "row", "covered", "area", fraction(F.col("covered"), F.col("area")).alias("overlap"))
 
 

@@ -112,8 +112,15 @@ def _feet(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _cells(spark: SparkSession, d: str) -> DataFrame:
-    p = planes(spark, d).withColumn("mx", F.explode(F.sequence(F.lit(0), F.ceil(F.col("w") / 64).cast("int") - 1)))
-    return p.withColumn("my", F.explode(F.sequence(F.lit(0), F.ceil(F.col("h") / 64).cast("int") - 1))).select("slide", "mx", "my")
+    """(slide, bx, by, mx, my): every mask pixel, made where its block was dealt to."""
+    spread = lambda first, last: F.explode(F.sequence(first, last))
+    p = planes(spark, d).filter("w > 0 AND h > 0").select("slide", *[(F.ceil(F.col(c) / 64) - 1).alias(f"last_{c}") for c in "wh"])
+    for c, at in (("w", "bx"), ("h", "by")):
+        p = p.withColumn(at, spread(F.lit(0).cast("long"), F.floor(F.col(f"last_{c}") / grid.BLOCK)))
+    p = p.repartition("slide", "bx", "by")
+    for c, at, out in (("w", "bx", "mx"), ("h", "by", "my")):
+        p = p.withColumn(out, spread(F.col(at) * grid.BLOCK, F.least(F.col(f"last_{c}"), F.col(at) * grid.BLOCK + grid.BLOCK - 1)))
+    return p.select("slide", "bx", "by", F.col("mx").cast("int").alias("mx"), F.col("my").cast("int").alias("my"))
 
 
 @query(sql("planes", body=GRID_SQL + MASK_SQL + """
@@ -122,7 +129,7 @@ def _cells(spark: SparkSession, d: str) -> DataFrame:
 def tile_overlap(spark: SparkSession, d: str) -> DataFrame:
     """Tissue share of each tile that has any, from a coarse mask."""
     mask = _cells(spark, d).filter("(mx * 7 + my * 5 + slide) % 11 < 4")
-    return grid.select_tiles(grid.tile_overlap(_feet(spark, d).select("slide", "col", "row", "mx0", "mx1", "my0", "my1"), mask))
+    return grid.select_tiles(grid.tile_overlap(_feet(spark, d).select("slide", "col", "row", "mx0", "mx1", "my0", "my1"), mask, placed=True))
 
 
 CLASS_SQL = """
@@ -139,7 +146,7 @@ CLASS_SQL = """
 
 def _shares(spark: SparkSession, d: str) -> DataFrame:
     classes = _cells(spark, d).withColumn("cls", F.expr("(mx * 3 + my * 5 + slide) % 7 + 1"))
-    return artifacts.class_fractions(_feet(spark, d).select("slide", "col", "row", "mx0", "mx1", "my0", "my1"), classes)
+    return artifacts.class_fractions(_feet(spark, d).select("slide", "col", "row", "mx0", "mx1", "my0", "my1"), classes, placed=True)
 
 
 @query(sql("planes", body=GRID_SQL + MASK_SQL + CLASS_SQL + " SELECT * FROM shares"))
