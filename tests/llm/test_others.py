@@ -266,3 +266,18 @@ def test_conversations_read_back(spark):
 def test_escapes_are_exact_inverses():
     for t in ("\\", "\\\\", "a\\<|end|>", "\\\\<s>", "</s>\\"):
         assert chat.unescape(chat.escape(t)) == t
+
+
+def test_sample_of_vectors_is_bounded_by_a_hash(spark):
+    rng = np.random.default_rng(7)
+    x = rng.random((2000, 8))
+    rows = [(k, v) for k, v in enumerate(x.tolist())] + [(0, x[0].tolist())] * 1000
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    good = ann.usable(df, "embedding", "vec_id")
+    n, drawn = ann._drawn(good, 50)
+    assert n == 3000 and len(drawn) == 50 == len({v.tobytes() for v in drawn})
+    again = ann._drawn(good.repartition(2), 50)[1]
+    assert all((a == b).all() for a, b in zip(drawn, again))
+    assert len(ann._drawn(good, 5000)[1]) == 2000
+    plan = ann.search(df, F.col("vec_id") % 100 == 0)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
