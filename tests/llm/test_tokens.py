@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import random
 import zlib
 
@@ -49,6 +50,48 @@ def test_cutting_in_arrays_is_the_pattern():
     assert distinct_pieces([])[0] == [] and distinct_pieces(["", ""])[2].tolist() == [0, 0]
 
 
+class Counted:
+    """A tokenizer that counts the bytes it is given."""
+
+    def __init__(self, library):
+        self.library, self.bytes = library, 0
+
+    def __getattr__(self, name):
+        def call(texts, **options):
+            self.bytes += sum(len(t.encode()) for t in texts)
+            return getattr(self.library, name)(texts, **options)
+
+        return call
+
+
+def test_library_sees_a_piece_once():
+    """Also when there are more pieces than a memory of Python's objects would hold."""
+    encoder, letters = LibraryEncoder(PATH), "abcdefghijklmnopqrstuvwxyz"
+    text = "".join(" " + "".join(x) for x in itertools.islice(itertools.product(letters, repeat=4), 420_000))
+    encoder.library = counted = Counted(encoder.library)
+    first = encoder([text])
+    assert counted.bytes == len(text)
+    assert encoder([text, "", text[:50]]) == [first[0], b"", encoder([text[:50]])[0]] and counted.bytes == len(text)
+
+
+def test_memory_that_is_emptied(library, monkeypatch):
+    monkeypatch.setattr("tilewright.llm.library.ENTRIES", 300)
+    encoder = LibraryEncoder(PATH)
+    for seed in range(12):
+        texts = odd_texts(60, seed) + ["x" * 17 + " " + "y" * 40 + "\0", "x" * 16 + "\0 \0\0", "\0" * 9, "\0" * 8, "<|endoftext|> a"]
+        assert [list(memoryview(x).cast("I")) for x in encoder(texts)] == [ids(library, t) for t in texts]
+        assert len(encoder.memory) <= 300
+
+
+def test_pieces_of_one_hash(library, monkeypatch):
+    """All pieces share four hashes: they are still told apart, in a batch and between batches."""
+    monkeypatch.setattr("tilewright.llm.library.keys_of", lambda one, two, size: one & np.uint64(3))
+    encoder = LibraryEncoder(PATH)
+    for seed in (1, 2, 1):
+        texts = odd_texts(100, seed) + ["x" * 17 + " " + "x" * 18]
+        assert [list(memoryview(x).cast("I")) for x in encoder(texts)] == [ids(library, t) for t in texts]
+
+
 def test_array_index_is_the_list_index():
     rng = random.Random(1)
     v = bpe.encoder(PATH).v

@@ -8,17 +8,20 @@ something follows."""
 from __future__ import annotations
 
 import functools
+from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 import regex
-import xxhash
 
 WHITE, LETTER, NUMBER, OTHER = range(4)
 
-#: Longest piece that is hashed in arrays; longer ones are hashed one by one.
-SHORT = 64
+#: Bytes of the longest piece that two words hold; longer ones are numbered one by one.
+SHORT = 16
 
-_RANDOM = np.random.default_rng(20240607).integers(1, 1 << 64, (2, SHORT), np.uint64, endpoint=False) | np.uint64(1)
+#: Of a word, the first k bytes; fixed multipliers of the hash.
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_MIX, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 @functools.lru_cache(maxsize=1)
@@ -60,9 +63,20 @@ def starts(points: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out[:n]
 
 
-def distinct_pieces(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray] | None:
-    """(pieces, which, cuts): the different pieces of all texts, which of them stands at each place, and where
-    each text's places end.  None if two different pieces cannot be told apart by their hashes."""
+class Pieces(NamedTuple):
+    """All texts' bytes in a row, where each piece begins, its size, and where each text's pieces end."""
+
+    data: bytes
+    low: np.ndarray
+    size: np.ndarray
+    cuts: np.ndarray
+
+    def of(self, at: np.ndarray) -> list[bytes]:
+        low = self.low[at]
+        return [self.data[a:b] for a, b in zip(low.tolist(), (low + self.size[at]).tolist())]
+
+
+def cut(texts: list[str]) -> Pieces:
     whole = "".join(texts)
     data = whole.encode()
     points = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
@@ -75,22 +89,62 @@ def distinct_pieces(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray
     if len(data) == len(points):
         low = at
     else:
-        width = 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)
-        low = (np.cumsum(width) - width)[at]
-    if not len(at):
-        return [], np.zeros(0, np.int64), cuts
-    size = np.diff(np.append(low, len(data)))
-    place = (np.arange(len(data), dtype=np.int64) - np.repeat(low, size)) & (SHORT - 1)
-    bytes_ = np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)
-    keys = []
-    for table in _RANDOM:
-        h = np.add.reduceat(bytes_ * table[place], low)
-        keys.append((h ^ (h >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) + size.astype(np.uint64))
-    for k in np.flatnonzero(size > SHORT).tolist():
-        part = data[low[k] : low[k] + size[k]]
-        keys[0][k], keys[1][k] = xxhash.xxh3_64_intdigest(part, 1), xxhash.xxh3_64_intdigest(part, 2)
-    _, index, which = np.unique(keys[0], return_index=True, return_inverse=True)
-    if (keys[1][index][which] != keys[1]).any():
-        return None
-    stop = low + size
-    return [data[a:b].decode() for a, b in zip(low[index].tolist(), stop[index].tolist())], which, cuts
+        width = np.ones(len(points), np.uint8)
+        for least in (0x80, 0x800, 0x10000):
+            width += points >= least
+        low = (np.cumsum(width, dtype=np.int64) - width)[at]
+    return Pieces(data, low, np.diff(np.append(low, len(data))), cuts)
+
+
+def names(p: Pieces, long: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Three numbers for each piece, equal for equal pieces only: up to SHORT bytes its bytes as two words and its
+    size; beyond that its number in `long` (where new ones are added), 0 and 0."""
+    words = np.frombuffer(p.data + bytes(32 - len(p.data) % 8), "<u8")
+    at, bits = p.low >> 3, ((p.low & 7) << 3).astype(np.uint64)
+    a, b, c = words[at], words[at + 1], words[at + 2]
+    back = np.uint64(63) - bits
+    one = (a >> bits) | ((b << np.uint64(1)) << back)
+    two = (b >> bits) | ((c << np.uint64(1)) << back)
+    one &= _MASKS[np.minimum(p.size, 8)]
+    two &= _MASKS[np.clip(p.size - 8, 0, 8)]
+    size = np.where(p.size <= SHORT, p.size, 0).astype(np.uint8)
+    far = np.flatnonzero(size == 0)
+    if len(far):
+        one[far] = [long.setdefault(x, len(long)) for x in p.of(far)]
+        two[far] = 0
+    return one, two, size
+
+
+def keys_of(one: np.ndarray, two: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash of each piece's three numbers."""
+    h = (one ^ (size * _STEP)) * _MIX
+    h ^= h >> np.uint64(32)
+    h ^= two * _STEP
+    h *= _MIX
+    h ^= h >> np.uint64(29)
+    return h
+
+
+def distinct(keys: np.ndarray, *named: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, which): the first place of each different piece, and which of them stands at each place.  The hashes
+    are checked; where two pieces share one, all are sorted instead."""
+    coded = pa.array(keys).dictionary_encode()
+    which = coded.indices.to_numpy().astype(np.int64)
+    first = np.empty(len(coded.dictionary), np.int64)
+    first[which[::-1]] = np.arange(len(keys))[::-1]
+    if all((x[first][which] == x).all() for x in named):
+        return first, which
+    order = np.lexsort(named)
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([x[order[1:]] != x[order[:-1]] for x in named])
+    which[order] = np.cumsum(new) - 1
+    return order[new], which
+
+
+def distinct_pieces(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(pieces, which, cuts): the different pieces of all texts, which of them stands at each place, and where
+    each text's places end."""
+    p = cut(texts)
+    named = names(p, {})
+    first, which = distinct(keys_of(*named), *named)
+    return [x.decode() for x in p.of(first)], which, p.cuts
