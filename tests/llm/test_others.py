@@ -1,10 +1,12 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,6 +131,35 @@ def test_classifier_on_held_out_rows(spark):
     assert quality.train(docs, lab.filter("quality = 1")) is None and quality.train(docs, lab.limit(0)) is None
 
 
+def test_training_leaves_the_driver_alone(spark):
+    """Features of the sample (here over 10 MB at eight bytes each) stay on the executors."""
+    rng = random.Random(4)
+    docs = table(spark, [(i, words(rng, 1000), "en", "s", 0) for i in range(300)])
+    lab = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, quality int")
+    tracemalloc.start()
+    model = quality.train(docs, lab)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model is not None and most < 8 << 20
+
+
+def test_features_in_runs(monkeypatch):
+    """Sums of a sample do not depend on how its texts are cut into batches and runs."""
+    rng = random.Random(5)
+    texts = [words(rng, rng.randint(0, 90)).encode() for _ in range(60)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(i, i + 20), pa.int64()), pa.array(texts[i : i + 20], pa.binary())], ["id", "text"]) for i in (0, 20, 40)]
+    whole = quality._features(pa.Table.from_batches(batches).combine_chunks().to_batches()[0])
+    monkeypatch.setattr(quality, "AT_ONCE", 700)
+    cut = [quality._features(b) for b in batches]
+    assert [r for b in cut for r in b.to_pylist()] == whole.to_pylist()
+    monkeypatch.setattr(quality, "FEATURES", 500)
+    one, many = quality.Sample([whole.slice(0, 60)]), quality.Sample([whole.slice(0, 7), *(b.slice(k, 1) for b in [whole] for k in range(7, 60))])
+    assert len(one.runs) > 5 and one.n == many.n == 60
+    want = [sum(v * (p % 13) for p, v in zip(r["places"], r["values"])) for r in whole.to_pylist()]
+    for sample in (one, many):
+        assert np.allclose(sample.text_sums(lambda places: places % 13), want)
+        assert np.allclose(sample.place_sums(np.arange(60.0)), one.place_sums(np.arange(60.0)))
+
 # Mixing
 
 

@@ -2,11 +2,13 @@
 
 The verdict comes from a logistic regression on hashed n-grams (bytes of the text two and four at a
 time, words, word pairs; each kind as shares of its total), trained on a bounded sample of labelled
-rows and calibrated on rows that training has not seen (Platt scaling).  Texts are scored in Arrow batches: the
+rows and calibrated on rows that training has not seen (Platt scaling).  One task of an executor trains
+it; the driver gets the weights only, as its memory is the smaller one.  Texts are scored in Arrow batches: the
 score of a text is a sum of means of table entries, so whole batches are handled as one byte array."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilewright.llm._common import arrow_map, bytes_of, configure, staged, table
+from tilewright.llm._common import arrow_map, bytes_of, configure, staged, table, task_memory
 
 #: Labelled ids that are used at most (those with the smallest hashes), bytes of their texts at most, the
 #: share of them that calibrates, and bits of each kind's table.
@@ -26,6 +28,9 @@ LEAST_WORDS, MOST_REPEATED, KEEP_FROM = 50, 50, 0.4
 #: Bytes of text handled at once (arrays take about 60 times that).
 AT_ONCE = 1 << 20
 
+#: Features handled at once in training (arrays take about 40 bytes for each).
+FEATURES = 1 << 20
+
 KINDS = 4
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
@@ -143,29 +148,76 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
 
+def _runs(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """The texts in runs of a bounded number of bytes; one empty run if there are none."""
+    run, size = [], 0
+    for t in texts:
+        if run and size + len(t) > AT_ONCE:
+            yield run
+            run, size = [], 0
+        run.append(t)
+        size += len(t)
+    yield run
+
+
 def _features(b: pa.RecordBatch) -> pa.RecordBatch:
     """Hashed shares of each text as (place, value) lists; places of all kinds in one range."""
-    batch = Batch(bytes_of(b.column(1)))
-    places: list[list[np.ndarray]] = [[] for _ in range(batch.n)]
-    values: list[list[np.ndarray]] = [[] for _ in range(batch.n)]
-    for kind, (text, place) in enumerate(batch.grams()):
-        cut = np.searchsorted(text, np.arange(batch.n + 1))
-        for k in range(batch.n):
-            at, n = np.unique(place[cut[k] : cut[k + 1]], return_counts=True)
-            places[k].append((at + (kind << BITS)).astype(np.int32))
-            values[k].append((n / max(1, n.sum())).astype(np.float32))
-    return pa.RecordBatch.from_arrays([b.column(0), pa.array([np.concatenate(x) for x in places], pa.list_(pa.int32())), pa.array([np.concatenate(x) for x in values], pa.list_(pa.float32()))], ["id", "places", "values"])
-
-
-def regression(rows: np.ndarray, places: np.ndarray, values: np.ndarray, label: np.ndarray, rounds: int = 150, rate: float = 2.0, ridge: float = 1e-6) -> tuple[np.ndarray, float]:
-    """Weights and bias of a logistic regression on sparse rows, by Adam on the whole sample."""
-    n, size = len(label), KINDS << BITS
+    places: list[np.ndarray] = []
+    values: list[np.ndarray] = []
+    for batch in map(Batch, _runs(bytes_of(b.column(1)))):
+        own = [([], []) for _ in range(batch.n)]
+        for kind, (text, place) in enumerate(batch.grams()):
+            cut = np.searchsorted(text, np.arange(batch.n + 1))
+            for k in range(batch.n):
+                at, n = np.unique(place[cut[k] : cut[k + 1]], return_counts=True)
+                own[k][0].append((at + (kind << BITS)).astype(np.int32))
+                own[k][1].append((n / max(1, n.sum())).astype(np.float32))
+        places += [np.concatenate(x) for x, _ in own]
+        values += [np.concatenate(x) for _, x in own]
+    return pa.RecordBatch.from_arrays([b.column(0), pa.array(places, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))], ["id", "places", "values"])
+
+
+class Sample:
+    """Features of texts as they came from Spark, eight bytes each, read in runs of whole texts."""
+
+    def __init__(self, batches: list[pa.RecordBatch]):
+        self.n, self.runs = 0, []
+        for b in batches:
+            lists = b.column("places")
+            offsets = lists.offsets.to_numpy().astype(np.int64)
+            offsets -= offsets[0]
+            places, values = lists.flatten().to_numpy(), b.column("values").flatten().to_numpy()
+            cuts = [*np.flatnonzero(np.diff(offsets[:-1] // FEATURES, prepend=-1)).tolist(), b.num_rows]
+            for s, e in zip(cuts, cuts[1:]):
+                part = slice(offsets[s], offsets[e])
+                self.runs.append((self.n + s, np.diff(offsets[s : e + 1]), places[part], values[part]))
+            self.n += b.num_rows
+
+    def text_sums(self, of: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        """For each text the sum of its values times `of` their places."""
+        out = np.zeros(self.n)
+        for first, lengths, places, values in self.runs:
+            rows = np.repeat(np.arange(len(lengths)), lengths)
+            out[first : first + len(lengths)] = np.bincount(rows, of(places) * values, len(lengths))
+        return out
+
+    def place_sums(self, of_text: np.ndarray) -> np.ndarray:
+        """For each place the sum of its values times what `of_text` has for their texts."""
+        out = np.zeros(KINDS << BITS)
+        for first, lengths, places, values in self.runs:
+            out += np.bincount(places, np.repeat(of_text[first : first + len(lengths)], lengths) * values, len(out))
+        return out
+
+
+def regression(sample: Sample, label: np.ndarray, used: np.ndarray, rounds: int = 150, rate: float = 2.0, ridge: float = 1e-6) -> tuple[np.ndarray, float]:
+    """Weights and bias of a logistic regression on the texts that are used, by Adam on all of them."""
+    size = KINDS << BITS
     w, m, v, bias = np.zeros(size), np.zeros(size), np.zeros(size), 0.0
-    balance = np.where(label == 1, 0.5 / max(1, (label == 1).sum()), 0.5 / max(1, (label == 0).sum()))
+    balance = np.where(label == 1, 0.5 / max(1, (label[used] == 1).sum()), 0.5 / max(1, (label[used] == 0).sum())) * used
     for k in range(1, rounds + 1):
-        p = _sigmoid(np.bincount(rows, w[places] * values, n) + bias)
+        p = _sigmoid(sample.text_sums(lambda places: w[places]) + bias)
         gap = (p - label) * balance
-        g = np.bincount(places, gap[rows] * values, size) + ridge * w
+        g = sample.place_sums(gap) + ridge * w
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= rate * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.99**k)) + 1e-6)
         bias -= 2.0 * gap.sum()
@@ -201,39 +253,41 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = LABELLED, text: str =
             room -= r["size"]
             taken.append(r["id"])
     labelled = {r["id"]: r["label"] for r in drawn.collect()}
-    found = arrow_map(texts.filter(F.col("id").isin(taken)).select("id", "text"), _features, "id long, places array<int>, values array<float>").toArrow()
-    found = found.sort_by("id")  # the order of rows that come is not fixed
-    label_ = np.array([labelled[x] for x in found["id"].to_pylist()], np.int64)
-    if len(set(label_.tolist())) < 2:
+    found = arrow_map(texts.filter(F.col("id").isin(taken)).select("id", "text"), _features, "id long, places array<int>, values array<float>")
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with task_memory():
+            model = fitted([b for b in batches if b.num_rows], labelled)
+            if model:
+                numbers = {"bias": model.bias, "slope": model.slope, "offset": model.offset}
+                yield pa.RecordBatch.from_pylist([{"weights": model.weights.tobytes()} | numbers])
+
+    # The order of rows that come is not fixed.
+    one = found.repartition(1).sortWithinPartitions("id").mapInArrow(fit, "weights binary, bias double, slope double, offset double").collect()
+    return Model(np.frombuffer(one[0]["weights"], np.float32).reshape(KINDS, -1), *one[0][1:]) if one else None
+
+
+def fitted(batches: list[pa.RecordBatch], labelled: dict[int, int]) -> Model | None:
+    """A model from the features (id, places, values) of labelled texts; None if they do not show both classes."""
+    label = np.array([labelled[x] for b in batches for x in b.column("id").to_pylist()], np.int64)
+    if len(set(label.tolist())) < 2:
         return None
-    lists = found["places"].combine_chunks()
-    lengths = np.diff(lists.offsets.to_numpy())
-    places, values = lists.flatten().to_numpy(), found["values"].combine_chunks().flatten().to_numpy()
-    rows = np.repeat(np.arange(len(label_)), lengths)
-    sums = np.bincount(rows, values * (places % 9973), len(label_))
+    sample = Sample(batches)
+    sums = sample.text_sums(lambda places: places % 9973)
     rank = np.argsort(np.argsort(sums, kind="stable"), kind="stable")
     held = rank % round(1 / HELD_OUT) == 0
-    if len(set(label_[held].tolist())) < 2 or len(set(label_[~held].tolist())) < 2:
-        held = np.zeros(len(label_), bool)
-    part = ~held[rows]
-    seen = np.cumsum(~held) - 1
-    w, bias = regression(seen[rows[part]], places[part], values[part], label_[~held])
-    score = np.bincount(rows, w[places] * values, len(label_)) + bias
+    if len(set(label[held].tolist())) < 2 or len(set(label[~held].tolist())) < 2:
+        held = np.zeros(len(label), bool)
+    w, bias = regression(sample, label, ~held)
+    score = sample.text_sums(lambda places: w[places]) + bias
     own = held if held.any() else ~held
-    slope, offset = platt(score[own], label_[own])
-    return Model(w.reshape(KINDS, -1).astype(np.float32), bias, slope, offset)
+    slope, offset = platt(score[own], label[own])
+    return Model(w.reshape(KINDS, -1).astype(np.float32), float(bias), slope, offset)
 
 
 def _measured(texts: list[bytes], model: Model | None, keep_from: float) -> dict[str, np.ndarray]:
     """Columns of the result, made for runs of texts of a bounded number of bytes."""
-    made, run, size = [], [], 0
-    for t in texts:
-        if run and size + len(t) > AT_ONCE:
-            made.append(_measured_run(Batch(run), model, keep_from))
-            run, size = [], 0
-        run.append(t)
-        size += len(t)
-    made.append(_measured_run(Batch(run), model, keep_from))
+    made = [_measured_run(Batch(run), model, keep_from) for run in _runs(texts)]
     return {c: np.concatenate([m[c] for m in made]) for c in made[0]}
 
 
